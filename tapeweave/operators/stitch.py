@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeweave.schema import KEY, OHLC
+from tapeweave.schema import OHLC
 from tapeweave.session import join_dim
 
 FAR_EXPIRY = "9999-12-31"
+# The key with its most varied part first: the ranking sort then compares
+# 64-bit prefixes that seldom tie, instead of a few repeated symbols.
+RANK_KEY = ["unix_ms", "symbol", "price_type"]
 
 
 def top_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -44,7 +47,7 @@ def preference() -> list[Column]:
 
 def dedup(bars: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One bar per key within each contract."""
-    return top_one(bars, keys or ["symbol", "contract", "price_type", "unix_ms"], dedup_order())
+    return top_one(bars, keys or [*RANK_KEY, "contract"], dedup_order())
 
 
 def with_expiry(bars: DataFrame, catalog: DataFrame | None) -> DataFrame:
@@ -64,12 +67,12 @@ def stitch(bars: DataFrame, catalog: DataFrame | None = None, keep_all_ticks: bo
     and ``contract`` names the winner. Ticks of one millisecond collapse to
     one unless ``keep_all_ticks`` adds ``seq`` to the key.
     """
-    keys = [*KEY, "seq"] if keep_all_ticks else KEY
+    keys = [*RANK_KEY, "seq"] if keep_all_ticks else RANK_KEY
     return top_one(with_expiry(bars, catalog), keys, preference())
 
 
 def latest_wins(rows: DataFrame, sequence: list[Column],
-                keys: tuple[str, ...] = ("symbol", "price_type", "ts_event")) -> DataFrame:
+                keys: tuple[str, ...] = ("ts_event", "symbol", "price_type")) -> DataFrame:
     """Keyed upsert by arrival: the highest ``sequence`` per key stays.
 
     An interchange file holds one contract, so its key (price_type, ts_event)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when both bounds hold; it is measured, not guessed.
@@ -70,28 +70,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure a side before broadcasting it; never looks at more than ``rows + 1`` rows."""
-    found = (df.limit(rows + 1)
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("size"))
-             .first())
-    return found["n"] <= rows and found["size"] <= size
+def measure(df: DataFrame, *more: Column, rows: int = BROADCAST_ROWS) -> Row:
+    """``rows`` and ``size`` in bytes of a side, looking at no more than ``rows + 1`` rows of it."""
+    return (df.limit(rows + 1)
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("size"), *more)
+            .first())
+
+
+def fits_broadcast(found: Row, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    return found["rows"] <= rows and found["size"] <= size
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
-             spread: list[str] | None = None, rows: int = BROADCAST_ROWS) -> DataFrame:
+             spread: list[str] | None = None, rows: int = BROADCAST_ROWS,
+             found: Row | None = None) -> DataFrame:
     """Join a large table to a dimension that has one row per ``on``.
 
-    A dimension of measured small size is broadcast. A larger one is joined by
-    a shuffle; ``spread`` names fact columns whose hash splits a hot key over
-    ``SALTS`` tasks, with the dimension repeated per salt.
+    A dimension of measured small size is broadcast; ``found`` is that
+    measurement when the caller has it. A larger one is joined by a shuffle;
+    ``spread`` names fact columns whose hash splits a hot key over ``SALTS``
+    tasks, with the dimension repeated per salt.
     """
-    if fits_broadcast(dim, rows):
+    if fits_broadcast(found or measure(dim, rows=rows), rows):
         return fact.join(F.broadcast(dim), on, how)
     if not spread:
         return fact.join(dim, on, how)
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint")))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                             F.lit(SALTS - 1).cast("bigint"))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

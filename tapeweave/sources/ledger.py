@@ -44,7 +44,7 @@ def pending(contracts: DataFrame, ledger: DataFrame, table_name: str, frm: date,
 def live_rows(ledger: DataFrame) -> DataFrame:
     """Rows of the highest generation per (symbol, table)."""
     top = ledger.groupBy("symbol", "table_name").agg(F.max("generation").alias("generation"))
-    return join_dim(ledger, top, ["symbol", "table_name", "generation"], "left_semi")
+    return ledger.join(top, ["symbol", "table_name", "generation"], "left_semi")
 
 
 def live_batches(ledger: DataFrame) -> DataFrame:

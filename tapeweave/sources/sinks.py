@@ -101,26 +101,32 @@ def read_interchange(spark: SparkSession, out: str, fmt: str = "parquet", multil
     return spark.read.schema(schema).options(**_CSV).option("multiLine", multiline).csv(out)
 
 
-def export_files(spark: SparkSession, out: str, fmt: str) -> DataFrame:
-    """Size and SHA-256 of every part file, hashed where the file is read."""
+def _part_files(spark: SparkSession, out: str, fmt: str) -> DataFrame:
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(out)
-            .filter(F.col("path").rlike(_ENDINGS[fmt]))
+            .filter(F.col("path").rlike(_ENDINGS[fmt])))
+
+
+def export_files(spark: SparkSession, out: str, fmt: str) -> DataFrame:
+    """Size and SHA-256 of every part file, hashed by the task that reads it."""
+    return (_part_files(spark, out, fmt)
             .select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")))
 
 
 def export_manifest(spark: SparkSession, out: str, rows: DataFrame, fmt: str) -> DataFrame:
-    """One row per export: file count, bytes, rows, rows per stream, and the part hashes.
+    """One row per export: part files, bytes, rows, and rows per stream.
 
-    ``rows`` is what was handed to the sink. The combined hash is the
-    SHA-256 of the part hashes in path order; single parts are in ``export_files``.
+    ``rows`` is what was handed to the sink; without any the status is
+    ``no_data``. Hashes are per part file, see ``export_files``.
     """
-    counts = (rows.groupBy("price_type").agg(F.count(F.lit(1)).alias("n"))
-              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("price_type", "n"))))
-                   .alias("bar_count_by_stream"), F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("bar_count")))
-    files = export_files(spark, out, fmt).agg(
-        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0).cast("bigint")).alias("size_bytes"),
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))),
-                                        lambda f: f["sha256"]), ""), 256).alias("sha256"))
-    one = F.lit(1)
-    return (counts.withColumn("_k", one).join(files.withColumn("_k", one), "_k").drop("_k")
+    zero = F.lit(0).cast("bigint")
+    streams = (rows.groupBy("price_type").agg(F.count(F.lit(1)).alias("n"))
+               .select("price_type", "n", zero.alias("file"), zero.alias("size")))
+    files = (_part_files(spark, out, fmt)
+             .select(F.lit(None).cast("string").alias("price_type"), zero.alias("n"),
+                     F.lit(1).cast("bigint").alias("file"), F.col("length").alias("size")))
+    by_stream = F.collect_list(F.when(F.col("n") > 0, F.struct("price_type", "n")))
+    return (streams.unionByName(files)
+            .agg(F.coalesce(F.sum("n"), zero).alias("bar_count"),
+                 F.map_from_entries(F.array_sort(by_stream)).alias("bar_count_by_stream"),
+                 F.coalesce(F.sum("file"), zero).alias("files"), F.coalesce(F.sum("size"), zero).alias("size_bytes"))
             .withColumn("status", F.when(F.col("bar_count") == 0, "no_data").otherwise("ready")))

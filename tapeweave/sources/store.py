@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from tapeweave.functions.time import instant
 from tapeweave.operators.bars import bar_columns
-from tapeweave.operators.stitch import stitch, top_one
+from tapeweave.operators.stitch import RANK_KEY, stitch, top_one
 from tapeweave.schema import BAR_COLUMNS, BARS, KEY, LEDGER, check_timeframe
-from tapeweave.session import fits_broadcast, join_dim, pin_utc
+from tapeweave.session import fits_broadcast, join_dim, measure, pin_utc
 from tapeweave.sources import ledger as led
 
 _LAYOUT = ["timeframe", "batch", "symbol"]
@@ -58,10 +58,11 @@ class BarStore:
         live = led.live_batches(entries)
         # The batch folder is a partition column: the broadcast list of live
         # batches prunes the others before any file is opened.
-        rows = join_dim(rows.withColumn("contract", F.coalesce("contract", F.lit(""))), live, _LAYOUT)
-        one_batch = live.select("batch").distinct().limit(2).count() < 2
-        if not one_batch:
-            rows = top_one(rows, KEY, [F.col("volume").desc(), F.col("batch_id")])
+        found = measure(live, F.count_distinct("batch").alias("batches"))
+        rows = join_dim(rows.withColumn("contract", F.coalesce("contract", F.lit(""))), live, _LAYOUT, found=found)
+        # Keys are unique inside a batch, so a single one needs no ranking.
+        if found["batches"] > 1 or not fits_broadcast(found):
+            rows = top_one(rows, RANK_KEY, [F.col("volume").desc(), F.col("batch_id")])
         return rows.select(*BAR_COLUMNS)
 
     def merge(self, bars: DataFrame, timeframe: str, catalog: DataFrame | None = None,
@@ -127,11 +128,12 @@ class BarStore:
     def _commit(self, marks: DataFrame, entries: DataFrame, timeframe: str, batch: str, batch_id: int,
                 frm: date | None, to: date | None, replace: bool, commit_key: str | None,
                 completed_at: datetime | None) -> None:
+        # Ledger-sized on both sides: Spark measures and chooses this join itself.
         generations = (entries.filter(F.col("table_name") == timeframe).groupBy("symbol")
                        .agg(F.max("generation").alias("generation")))
         step = 1 if replace else 0
         done = completed_at or datetime.now(timezone.utc)
-        rows = (join_dim(marks, generations, ["symbol"], "left")
+        rows = (marks.join(generations, "symbol", "left")
                 .withColumn("generation", F.coalesce(F.col("generation") + step, F.lit(1).cast("bigint")))
                 .withColumn("table_name", F.lit(timeframe))
                 .withColumn("from_date", F.lit(frm.isoformat() if frm else None).cast("date"))

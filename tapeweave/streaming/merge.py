@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -19,7 +20,12 @@ def merge_stream(bars: DataFrame, store: BarStore, timeframe: str, checkpoint: s
     add up to many store batches: call ``store.compact`` now and then.
     """
     def merge(batch: DataFrame, epoch: int) -> None:
-        good, _ = validate_bars(batch)
-        store.merge(good, timeframe, catalog, commit_key=f"{name}-{epoch}")
+        # The merge reads its input for the bars and for the counts.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, _ = validate_bars(batch)
+            store.merge(good, timeframe, catalog, commit_key=f"{name}-{epoch}")
+        finally:
+            batch.unpersist()
 
     return bars.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
