@@ -15,11 +15,14 @@ UNIT_MICROS = {
     "Minute": 60 * MICROS_PER_SECOND,
     "Day": MICROS_PER_DAY,
 }
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z")
 _EPOCH = datetime(1970, 1, 1)
 
 
 def to_utc(local: Column, tz: str | Column) -> Column:
     """Wall-clock time in ``tz`` to the UTC instant."""
+    if isinstance(tz, str) and tz in UTC_NAMES:
+        return local.cast("timestamp")
     return F.to_utc_timestamp(local.cast("timestamp"), tz)
 
 

@@ -40,14 +40,13 @@ def validate_bars(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     All columns but ``contract`` must be filled, and a symbol may not be blank.
     """
     needed = [f.name for f in BARS.fields if f.name != "contract" and f.name in df.columns]
-    missing = F.array_compact(F.array(
-        *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed]))
-    bad = (F.size(missing) > 0) | (F.trim("symbol") == "")
-    bad = F.coalesce(bad, F.lit(True))
-    rejected = (df.filter(bad)
-                .withColumn("reject_reason", F.when(F.size(missing) > 0, F.concat(
-                    F.lit("null: "), F.array_join(missing, ","))).otherwise("blank symbol")))
-    return df.filter(~bad), rejected
+    filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed])
+    accepted = filled & (F.trim("symbol") != "")
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    rejected = (df.filter(~F.coalesce(accepted, F.lit(False)))
+                .withColumn("reject_reason", F.when(filled, "blank symbol")
+                            .otherwise(F.concat(F.lit("null: "), missing))))
+    return df.filter(accepted), rejected
 
 
 def select_streams(df: DataFrame, which: str | None = "all") -> DataFrame:

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tapeweave.functions.time import UTC_NAMES
+
 # A side is broadcast only when both bounds hold; it is measured, not guessed.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -16,25 +18,42 @@ SALTS = 64
 _local_dirs: dict[str, str] = {}
 
 
-def session(app: str = "tapeweave", **conf: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int, cores: int = 8, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Initial shuffle partitions for an input: about ``target_bytes`` of it each.
+
+    Adaptive execution joins small ones afterwards, so this may be generous;
+    the cap keeps shuffle bookkeeping in bounds on the largest inputs.
+    """
+    return max(cores, min(50_000, -(-input_bytes // target_bytes)))
+
+
+def session(app: str = "tapeweave", input_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with this library's settings; ``input_bytes`` sizes the shuffles."""
     builder = (SparkSession.builder.appName(app)
                .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true"))
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
-    """Instants are UTC everywhere in this library."""
+    """Instants are UTC everywhere in this library, and microsecond integers in Parquet.
+
+    The default INT96 timestamps carry no statistics, so files could not be skipped by time.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 
 def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
+    if zone not in UTC_NAMES:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, is {zone}: call pin_utc(spark)")
 
 

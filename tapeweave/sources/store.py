@@ -34,8 +34,6 @@ class BarStore:
         self.path = path.rstrip("/")
         self._bars, self._ledger = f"{self.path}/bars", f"{self.path}/ledger"
         spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(self._ledger)
-        (spark.createDataFrame([], _STORED).write.mode("ignore").partitionBy(*_LAYOUT)
-         .parquet(self._bars))
 
     def ledger(self) -> DataFrame:
         return self.spark.read.schema(LEDGER).parquet(self._ledger)
@@ -50,15 +48,18 @@ class BarStore:
         reaches the files, because the key is what the window partitions by.
         """
         check_timeframe(timeframe)
-        entries, rows = self.ledger(), self.spark.read.schema(_STORED).parquet(self._bars)
-        entries = entries.filter(F.col("table_name") == timeframe)
-        rows = rows.filter(F.col("timeframe") == timeframe)
+        entries = self.ledger().filter(F.col("table_name") == timeframe)
         if symbol is not None:
-            entries, rows = entries.filter(F.col("symbol") == symbol), rows.filter(F.col("symbol") == symbol)
+            entries = entries.filter(F.col("symbol") == symbol)
         live = led.live_batches(entries)
+        found = measure(live, F.count_distinct("batch").alias("batches"))
+        if not found["rows"]:
+            return self.spark.createDataFrame([], BARS)
+        rows = self.spark.read.schema(_STORED).parquet(self._bars).filter(F.col("timeframe") == timeframe)
+        if symbol is not None:
+            rows = rows.filter(F.col("symbol") == symbol)
         # The batch folder is a partition column: the broadcast list of live
         # batches prunes the others before any file is opened.
-        found = measure(live, F.count_distinct("batch").alias("batches"))
         rows = join_dim(rows.withColumn("contract", F.coalesce("contract", F.lit(""))), live, _LAYOUT, found=found)
         # Keys are unique inside a batch, so a single one needs no ranking.
         if found["batches"] > 1 or not fits_broadcast(found):
