@@ -55,14 +55,17 @@ def tick_bars(bars: DataFrame, value: int, series: list[str] = SERIES) -> DataFr
     day of one, into one task: a range shuffle on (series, time, seq) splits
     any hot stretch, rows are numbered inside each range, and the number of
     rows in earlier ranges is added. Ranges are written once, so the numbers
-    and the counts come from the same rows even after a lost executor.
+    and the counts come from the same rows even after a lost executor. Series
+    columns must be filled, as ``validate_bars`` ensures.
     """
     check_period("Tick", value)
     seq = ["seq"] if "seq" in bars.columns else []
     rows = bars.select(*series, "timestamp", *seq, *OHLC, "volume")
-    order = [*series, "timestamp", *seq]
+    # The hash leads so that sorts compare one integer before any text.
+    order = ["_hash", *series, "timestamp", *seq]
     row_bits = 33
-    numbered = written(rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = written(rows.withColumn("_hash", F.xxhash64(*series))
+                       .repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash")
                        .withColumn("_id", F.monotonically_increasing_id()), "tick-ranges")
     numbered = numbered.withColumn("_range", F.shiftright("_id", row_bits))
 
