@@ -109,7 +109,8 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
     A dimension of measured small size is broadcast; ``found`` is that
     measurement when the caller has it. A larger one is joined by a shuffle;
     ``spread`` names fact columns whose hash splits a hot key over ``SALTS``
-    tasks, with the dimension repeated per salt.
+    tasks, with the dimension repeated per salt; adaptive skew joins split
+    what is still too large.
     """
     if fits_broadcast(found or measure(dim, rows=rows), rows):
         return fact.join(F.broadcast(dim), on, how)

@@ -67,24 +67,32 @@ def _stream_rank() -> Column:
     return F.array_position(F.array(*[F.lit(s) for s in STREAMS]), F.col("price_type"))
 
 
+def keyed(rows: DataFrame, sequence: str | None = None) -> DataFrame:
+    """One row per (contract, stream, instant): the latest by ``sequence``, else the one of higher volume."""
+    order = [F.col(sequence)] if sequence else [F.col(c) for c in ("volume", "close", "high", "low", "open")]
+    return latest_wins(rows, order)
+
+
 def export_interchange(rows: DataFrame, out: str, fmt: str = "parquet", sequence: str | None = None,
-                       compression: str | None = None) -> None:
+                       compression: str | None = None, dedup: bool = False) -> None:
     """Write interchange rows.
 
-    CSV carries nanoseconds and every row it is given, streams in last, bid,
-    ask order. Parquet is keyed: with ``sequence`` the latest arrival of a key
-    stays, and rows are ordered by (price_type, ts_event).
+    CSV carries nanoseconds and every row it is given (``dedup`` makes it
+    keyed), streams in last, bid, ask order. Parquet is always keyed and
+    ordered by (price_type, ts_event).
     """
     if fmt == "csv":
+        rows = keyed(rows, sequence) if dedup else rows
         ranked = rows.withColumn("_rank", _stream_rank()).withColumn("ts_event_ns", epoch_ns(F.col("ts_event")))
-        writer = (_ordered(ranked, "_rank", "symbol", "ts_event_ns")
+        # The trailing columns let ranges split an instant that many rows share.
+        ties = [sequence] if sequence else []
+        writer = (_ordered(ranked, "_rank", "symbol", "ts_event_ns", *ties, "volume", "close")
                   .select("ts_event_ns", *INTERCHANGE_COLUMNS[1:]).write.options(**_CSV))
         if compression:
             writer = writer.option("compression", compression)
         writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(out)
     elif fmt == "parquet":
-        keyed = latest_wins(rows, [F.col(sequence)]) if sequence else rows
-        (_ordered(keyed.select(*INTERCHANGE_COLUMNS), "price_type", "ts_event").write
+        (_ordered(keyed(rows, sequence).select(*INTERCHANGE_COLUMNS), "price_type", "ts_event", "symbol").write
          .option("compression", compression or "snappy")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(out))
     else:

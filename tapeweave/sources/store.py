@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tapeweave.functions.time import instant
 from tapeweave.operators.bars import bar_columns
+from tapeweave.operators.inspect import store_summary
 from tapeweave.operators.stitch import RANK_KEY, stitch, top_one
-from tapeweave.schema import BAR_COLUMNS, BARS, KEY, LEDGER, check_timeframe
+from tapeweave.schema import BAR_COLUMNS, BARS, KEY, LEDGER, TIMEFRAMES, check_timeframe
 from tapeweave.session import fits_broadcast, join_dim, measure, pin_utc
 from tapeweave.sources import ledger as led
 
@@ -66,6 +67,10 @@ class BarStore:
             rows = top_one(rows, RANK_KEY, [F.col("volume").desc(), F.col("batch_id")])
         return rows.select(*BAR_COLUMNS)
 
+    def summary(self, symbol: str | None = None) -> DataFrame:
+        """Bars and time range per timeframe, symbol and stream; empty timeframes are listed with 0."""
+        return store_summary({t: self.read(t, symbol) for t in TIMEFRAMES})
+
     def merge(self, bars: DataFrame, timeframe: str, catalog: DataFrame | None = None,
               contracts: DataFrame | None = None, frm: date | None = None, to: date | None = None,
               replace: bool = False, commit_key: str | None = None,
@@ -145,5 +150,6 @@ class BarStore:
         self._append(rows)
 
     def _append(self, rows: DataFrame) -> None:
-        # One file, so the commit is one rename. The rows are one per contract.
-        rows.select(*LEDGER.fieldNames()).coalesce(1).write.mode("append").parquet(self._ledger)
+        # One file, so the commit is one rename. The rows are one per contract;
+        # a shuffle to one task, not a coalesce, leaves the counting parallel.
+        rows.select(*LEDGER.fieldNames()).repartition(1).write.mode("append").parquet(self._ledger)

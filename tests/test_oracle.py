@@ -1,8 +1,5 @@
 """Every registered query against its SQL twin."""
 
-import glob
-import os
-
 import pytest
 
 import __spark_entry__ as entry

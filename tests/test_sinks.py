@@ -97,6 +97,14 @@ def test_interchange_parquet_is_keyed_and_snappy(spark):
     assert meta.metadata.row_group(0).column(0).compression == "SNAPPY"
 
 
+def test_interchange_without_sequence_keeps_the_fuller_bar(spark):
+    df = sinks.to_interchange(frame(spark, [bar("2024-01-05", 9), bar("2024-01-05", 1), bar("2024-01-05", 4, "ES M4")]))
+    for fmt in ("parquet", "csv"):
+        out = workspace(spark, "interchange")
+        sinks.export_interchange(df, out, fmt, dedup=True)
+        assert rows_of(sinks.read_interchange(spark, out, fmt), "symbol", "volume") == [("ES H4", 9), ("ES M4", 4)]
+
+
 def test_manifest_counts_and_hashes(spark):
     out = workspace(spark, "csv")
     df = many(spark)
@@ -162,6 +170,6 @@ def test_catalog_scan(spark):
 
 
 def test_text_helpers(spark):
-    row = spark.createDataFrame([(" es ", "MNQ 06-26/a:b")], "a string, b string").select(
+    row = spark.createDataFrame([(" es ", "ES 06-26/a:b")], "a string, b string").select(
         clean_symbol(F.col("a")), safe_name(F.col("b"))).first()
-    assert tuple(row) == ("ES", "MNQ_06-26_a_b")
+    assert tuple(row) == ("ES", "ES_06-26_a_b")

@@ -61,6 +61,7 @@ def test_any_split_gives_the_same_store(spark, store, seed):
 def test_timeframes_are_separate(spark, store):
     store.merge(frame(spark, [bar(T0)]), "minutes")
     assert store.read("days").isEmpty() and store.read("minutes").count() == 1
+    assert rows_of(store.summary("ES"), "timeframe", "bar_count") == [("days", 0), ("minutes", 1), ("ticks", 0)]
 
 
 def test_commit_key_is_merged_once(spark, store):

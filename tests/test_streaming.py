@@ -3,8 +3,6 @@
 import random
 from datetime import date
 
-from pyspark.sql import functions as F
-
 from helpers import bar, frame, rows_of
 from tapeweave.operators.resample import resample
 from tapeweave.operators.stitch import stitch
