@@ -322,7 +322,7 @@ def stream_stitch(spark, d):
     src.repartition(3, "_slice").drop("_slice").write.parquet(path)
     live = stitch_stream(read_stream(spark, path, fx.day_bars(spark, d).schema, 1))
     out = workspace(spark, "stream-out")
-    drain(upsert_writer(live, out, workspace(spark, "checkpoint")))
+    drain(upsert_writer(live, out, workspace(spark, "checkpoint")), spark.sparkContext.defaultParallelism)
     return read_upserts(spark, out, live.schema, KEY).select(BAR)
 
 
@@ -331,7 +331,7 @@ def stream_bars(spark, d):
     path = _split(spark, ticks, "stream-in")
     live = bar_stream(read_stream(spark, path, ticks.schema, 1), "Minute", 60, "40 days")
     out = workspace(spark, "stream-out")
-    drain(upsert_writer(live, out, workspace(spark, "checkpoint")))
+    drain(upsert_writer(live, out, workspace(spark, "checkpoint")), spark.sparkContext.defaultParallelism)
     return read_upserts(spark, out, live.schema, [*SERIES, "unix_ms"])
 
 

@@ -12,7 +12,7 @@ from tapeweave.operators.bars import in_range, normalize, validate_bars
 from tapeweave.operators.catalog import bars_of_contracts, for_root, prune_contracts
 from tapeweave.operators.inspect import contract_steps, run_summary
 from tapeweave.operators.ranges import filter_range, resolve_range
-from tapeweave.schema import check_timeframe
+from tapeweave.schema import TIMEFRAMES, check_timeframe
 from tapeweave.session import written
 from tapeweave.sources.sinks import export_csv, export_parquet
 from tapeweave.sources.store import BarStore
@@ -72,3 +72,21 @@ def export_series(store: BarStore, catalog: DataFrame, raw: DataFrame, symbol: s
                 sink(exported, outputs[fmt])
     return ExportResult(batch_id, todo, steps, rejected, run_summary(good, series), series, outputs)
 
+
+
+def export_timeframes(store: BarStore, catalog: DataFrame, sources: dict[str, DataFrame], symbol: str | None,
+                      now: datetime, **request) -> tuple[dict[str, ExportResult], dict[str, Exception]]:
+    """``export_series`` for ticks, minutes and days in turn, as far as ``sources`` has them.
+
+    A timeframe that fails is reported and does not keep the next from running.
+    """
+    for name in sources:
+        check_timeframe(name)
+    done, failed = {}, {}
+    for name in TIMEFRAMES:
+        if name in sources:
+            try:
+                done[name] = export_series(store, catalog, sources[name], symbol, name, now, **request)
+            except Exception as error:
+                failed[name] = error
+    return done, failed

@@ -39,6 +39,18 @@ def read_upserts(spark: SparkSession, out: str, schema: T.StructType, keys: list
     return top_one(rows, keys, [F.col("epoch").desc()]).drop("epoch")
 
 
-def drain(writer: DataStreamWriter) -> None:
-    """Process everything available now, then stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def drain(writer: DataStreamWriter, state_partitions: int | None = None) -> None:
+    """Process everything available now, then stop.
+
+    A stateful query keeps as many state stores as it has shuffle partitions,
+    and keeps that number for good; ``state_partitions`` sets it for this query.
+    """
+    conf = SparkSession.active().conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
+    query.awaitTermination()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import bar, frame, rows_of
 from tapeweave.operators.stitch import stitch
-from tapeweave.plans.export import export_series
+from tapeweave.plans.export import export_series, export_timeframes
 from tapeweave.schema import BAR_COLUMNS, KEY, LEDGER
 from tapeweave.session import workspace
 from tapeweave.sources import ledger as led
@@ -211,6 +211,15 @@ def test_failed_run_marks_nothing(spark, store):
     assert store.ledger().isEmpty() and store.read("minutes").isEmpty()
 
 
+def test_failing_timeframe_does_not_stop_the_next(spark, store):
+    catalog, raw = export_inputs(spark)
+    broken = raw.withColumn("open", F.expr("double(raise_error('lost'))"))
+    done, failed = export_timeframes(store, catalog, {"days": raw, "minutes": broken}, "ES", datetime(2024, 2, 1),
+                                     frm=date(2024, 1, 5), to=date(2024, 1, 25))
+    assert set(done) == {"days"} and set(failed) == {"minutes"}
+    assert rows_of(store.ledger().select("table_name").distinct(), "table_name") == [("days",)]
+
+
 def test_export_range_only(spark, store):
     catalog, raw = export_inputs(spark)
     request = dict(symbol="ES", timeframe="minutes", now=datetime(2024, 2, 1), tz="America/Chicago")
