@@ -396,10 +396,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return naive(oi.roll_audit(stitch_hours(pin_utc(spark), FLAGSHIP_DIR)))
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators and their pipeline, if they are installed."""
+    try:
+        import corpus_pipeline
+        from tapeweave.llm.queries import QUERIES
+        from tapeweave.llm.sql import SQL
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline" and not (e.name or "").startswith("tapeweave.llm"):
+            raise
+        return {}, {}
+    sql = SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(query):
         return lambda spark, sf_dir: naive(query(pin_utc(spark), sf_dir))
-    return {name: wrap(query) for name, query in _QUERIES.items()}
+    return {name: wrap(query) for name, query in _QUERIES.items()} | _training_data()[0]
 
 
 # --- SQL twins -------------------------------------------------------------------------------
@@ -561,7 +575,7 @@ def oracle_sql() -> dict[str, str]:
     stitched_days = f"WITH {_DAY_SERIES} SELECT {_BAR} FROM day_series"
     new_york = "timezone('UTC', timezone('America/New_York', timestamp))"
     tick_series = f"SELECT symbol, contract, price_type FROM futures, {_STREAM_NAMES}"
-    return {
+    return _training_data()[1] | {
         "normalize_ticks": f"WITH {_F1} SELECT {tick_bar}, seq FROM f1",
         "normalize_new_york": f"""WITH {_F1} SELECT symbol, contract, price_type, epoch_us({new_york}) // 1000 AS unix_ms,
             {new_york} AS timestamp, open, high, low, close, volume, seq FROM f1""",
