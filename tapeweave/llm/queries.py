@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import line_dedup
+from tapeweave.llm import bpe, line_dedup, quality
 from tapeweave.llm.common import table
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
@@ -16,4 +20,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                                                "score", "predicted")
+
+
+def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(docs, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_bpe_lexicon": op8_bpe_lexicon,
+}
