@@ -15,6 +15,7 @@ import json
 import mmap
 import re
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeweave.llm.common import with_column
 from tapeweave.session import workspace
 
 LEXICON_WORDS = 65_536  # bounds the automaton; a word outside is merged, never dropped
@@ -280,7 +282,7 @@ def lexicon_encoder(source: str, lexicon: str) -> WordEncoder:
 
         def fresh(words: list[str]) -> list[bytes]:
             number = known.find([w.encode() for w in words])
-            return [known.ids_of(k) if k >= 0 else np.array(vocabulary.encode_word(w), "<i4").tobytes()
+            return [known.ids_of(k) if k >= 0 else array("i", vocabulary.encode_word(w)).tobytes()
                     for k, w in zip(number.tolist(), words)]
 
         _workers.clear()
@@ -364,7 +366,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids"
         offsets = np.cumsum([0, *(len(b) // 4 for b in data)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(data), "<i4")))
 
-    return _with_column(docs, text, out, T.ArrayType(T.IntegerType()), run)
+    return with_column(docs, text, out, T.ArrayType(T.IntegerType()), run)
 
 
 def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -382,18 +384,4 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decode
         return pa.array([b"".join([get(i, b"") for i in values[x:y].tolist()]).decode("utf-8", "replace")
                          for x, y in zip(offsets, offsets[1:])], pa.string())
 
-    return _with_column(docs, ids, out, T.StringType(), run)
-
-
-def _with_column(df: DataFrame, source: str, out: str, kind: T.DataType, run: Callable[[pa.Array], pa.Array]) -> DataFrame:
-    """``df`` with ``run`` over ``source`` as its last column ``out``."""
-    keep = [c for c in df.columns if c != out]
-    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, kind)])
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = run(batch.column(batch.schema.get_field_index(source)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), made],
-                                             [*keep, out])
-
-    return df.mapInArrow(each, schema)
+    return with_column(docs, ids, out, T.StringType(), run)

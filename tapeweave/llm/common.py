@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeweave.session import workspace
 
@@ -60,3 +63,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     if labels is None:
         return spark.createDataFrame([], "node long, component long")
     return labels
+
+
+def with_column(df: DataFrame, source: str, out: str, kind: T.DataType, run: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """``df`` with ``run`` over ``source`` as its last column ``out``."""
+    keep = [c for c in df.columns if c != out]
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, kind)])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = run(batch.column(batch.schema.get_field_index(source)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), made],
+                                             [*keep, out])
+
+    return df.mapInArrow(each, schema)

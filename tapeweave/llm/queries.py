@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import bpe, line_dedup, quality
+from tapeweave.llm import bpe, decontaminate, line_dedup, quality
 from tapeweave.llm.common import table
 
 
@@ -20,6 +20,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.*")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -38,6 +44,7 @@ def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
     "op8_bpe_lexicon": op8_bpe_lexicon,
 }
