@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import bpe, decontaminate, line_dedup, quality
+from tapeweave.llm import bpe, decontaminate, forest, jaccard, line_dedup, quality, token_files, warc
 from tapeweave.llm.common import table
+from tapeweave.session import workspace
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +21,23 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.cluster(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+    return found.withColumnRenamed("doc", "doc_id")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = workspace(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write(docs, out, public_tokenizers.path(TOKENIZER), end=2)
+    return token_files.read(spark, manifest, out).select(
+        F.col("doc").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
@@ -42,9 +60,23 @@ def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = workspace(spark, "warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), out)
+    captures = warc.assemble(warc.records(spark, manifest, out, payloads=False))
+    target = captures.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"),
+                                                               F.col("page_id").alias("target"))
+    return captures.join(target, "refers_to", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("target").alias("refers_to"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_token_files": op3_token_files,
+    "op4_embedding_forest": op4_embedding_forest,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
     "op8_bpe_lexicon": op8_bpe_lexicon,
+    "op10_warc": op10_warc,
 }

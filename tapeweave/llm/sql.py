@@ -12,4 +12,37 @@ SQL = {
       SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
              sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
       FROM m GROUP BY doc_id""",
+    "op2_jaccard_join": f"""WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents),
+      s AS (SELECT doc_id, list_distinct(list_transform(range(1, CASE WHEN len(w) = 0 THEN 1
+              ELSE greatest(len(w) - 3, 1) + 1 END), lambda i: array_to_string(w[i:i + 3], ' '))) AS s FROM w),
+      g AS (SELECT doc_id, unnest(s) AS g FROM s),
+      c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+      l AS (SELECT c.a, c.b FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b
+            WHERE 100 * c.n >= 85 * (len(x.s) + len(y.s) - c.n)),
+      r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+      SELECT s.doc_id, len(any_value(s.s)) AS n_shingles, min(r.c) AS component_id
+      FROM s JOIN r USING (doc_id) GROUP BY s.doc_id""",
+    "op4_embedding_forest": """WITH RECURSIVE v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+      ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(e, lambda x: x <> 0)) > 0),
+      l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+            ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+      r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id),
+      n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+      SELECT v.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.c) AS component_id, v.vec_id = min(r.c) AS kept
+      FROM v JOIN r USING (vec_id) LEFT JOIN n USING (vec_id) GROUP BY v.vec_id""",
+    "op10_warc": """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+      d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS sha FROM p),
+      b AS (SELECT *, CAST(unhex(sha) AS BIT)::VARCHAR AS bits FROM d),
+      e AS (SELECT page_id, payload_bytes, sha, array_to_string(list_transform(range(0, 32), lambda i:
+              substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+                + 16 * CAST(substr(bits, i * 5 + 1, 1) AS INT) + 8 * CAST(substr(bits, i * 5 + 2, 1) AS INT)
+                + 4 * CAST(substr(bits, i * 5 + 3, 1) AS INT) + 2 * CAST(substr(bits, i * 5 + 4, 1) AS INT)
+                + CAST(substr(bits, i * 5 + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest FROM b),
+      m AS (SELECT *, max(page_id) OVER (PARTITION BY sha, payload_bytes) AS top FROM e)
+      SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+             CASE WHEN page_id <> top THEN top END AS refers_to FROM m""",
 }
