@@ -25,10 +25,11 @@ import regex
 from pyarrow import fs
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeweave.llm.common import with_column
+from tapeweave.llm.common import saved, with_column
 from tapeweave.session import workspace
 
 LEXICON_WORDS = 65_536  # bounds the automaton; a word outside is merged, never dropped
@@ -66,6 +67,11 @@ class Vocabulary:
         self.rank = {self.ids[x] << 32 | self.ids[y]: i for i, (x, y) in enumerate(pairs)}
         self.made = [self.ids[x + y] for x, y in pairs]
         self.known: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        keys = np.array(list(self.rank), np.int64)
+        order = np.argsort(keys)
+        self._keys, self._ranks = keys[order], np.arange(len(keys))[order]
+        self._made, self._first = np.array(self.made, np.int32), np.array(self.first, np.int32)
         self.bytes = {i: bytes(byte[c] for c in t) for t, i in self.ids.items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
@@ -86,6 +92,83 @@ class Vocabulary:
             out += self._piece(piece)
         return out
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The same for many words at once, as little-endian 32-bit ids.
+
+        Words that begin with a space and end visibly keep to themselves in one
+        long text; it is split by the pattern once and its new pieces are merged together.
+        """
+        out: list[bytes | None] = [None] * len(words)
+        together = [i for i, w in enumerate(words) if w[:1] == " " and len(w) <= LONG_WORD and not w[-1:].isspace()
+                    and not w[1:2].isspace() and not (self._special and self._special.search(w))]
+        if together:
+            pieces = self._pattern.findall("".join([words[i] for i in together]))
+            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            want = np.cumsum([len(words[i]) for i in together])
+            at = np.searchsorted(ends, want)
+            if not (ends[at] == want).all():
+                raise AssertionError("a word ran into the next one")
+            if len(self.pieces) > MEMO_WORDS // 2:
+                self.pieces.clear()
+            known = self.pieces
+            new = list({p for p in pieces if p not in known})
+            known.update(zip(new, self._merge_many([p.encode() for p in new])))
+            data = [known[p] for p in pieces]
+            begin = 0
+            for i, end in zip(together, (at + 1).tolist()):
+                out[i] = data[begin] if end == begin + 1 else b"".join(data[begin:end])
+                begin = end
+        return [array("i", self.encode_word(w)).tobytes() if b is None else b for w, b in zip(words, out)]
+
+    def _pair_ranks(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        key = x.astype(np.int64) << 32 | y
+        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where(self._keys[at] == key, self._ranks[at], len(self._keys))
+
+    def _merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Each round makes the leftmost best merge of every piece that still has one."""
+        if not pieces:
+            return []
+        none = len(self._keys)
+        ids = self._first[np.frombuffer(b"".join(pieces), np.uint8)]
+        word = np.repeat(np.arange(len(pieces)), np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        rank = np.full(len(ids), none)
+        same = word[1:] == word[:-1]
+        rank[:-1][same] = self._pair_ranks(ids[:-1][same], ids[1:][same])
+        while len(ids):
+            begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            low = np.minimum.reduceat(rank, begin)
+            size = np.diff(np.append(begin, len(ids)))
+            if (over := low == none).any():
+                rest = np.repeat(over, size)
+                done.append((word[rest], ids[rest]))
+                word, ids, rank = word[~rest], ids[~rest], rank[~rest]
+                low, size = low[~over], size[~over]
+                if not len(ids):
+                    break
+            best = np.flatnonzero(rank == np.repeat(low, size))
+            best = best[np.append(True, word[best[1:]] != word[best[:-1]])]
+            ids[best] = self._made[low]
+            keep = np.ones(len(ids), bool)
+            keep[best + 1] = False
+            best -= np.arange(len(best))  # one symbol fewer for each merge before
+            word, ids, rank = word[keep], ids[keep], rank[keep]
+            for left in (best - 1, best):
+                ok = (left >= 0) & (left + 1 < len(ids))
+                inside = np.zeros(len(left), bool)
+                inside[ok] = word[left[ok]] == word[left[ok] + 1]
+                at = left[inside]
+                rank[at] = self._pair_ranks(ids[at], ids[at + 1])
+                last = left[ok & ~inside] if left is not best else left[~inside]
+                rank[last] = none
+        word = np.concatenate([w for w, _ in done])
+        ids = np.concatenate([x for _, x in done])
+        order = np.argsort(word, kind="stable")
+        data = ids[order].astype("<i4").tobytes()
+        cut = (4 * np.searchsorted(word[order], np.arange(len(pieces) + 1))).tolist()
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
+
     def _piece(self, piece: str) -> list[int]:
         ids = self.known.get(piece)
         if ids is None:
@@ -281,9 +364,9 @@ def lexicon_encoder(source: str, lexicon: str) -> WordEncoder:
         vocabulary, known = Vocabulary(source), Lexicon.load(SparkFiles.get(lexicon))
 
         def fresh(words: list[str]) -> list[bytes]:
-            number = known.find([w.encode() for w in words])
-            return [known.ids_of(k) if k >= 0 else array("i", vocabulary.encode_word(w)).tobytes()
-                    for k, w in zip(number.tolist(), words)]
+            number = known.find([w.encode() for w in words]).tolist()
+            unseen = iter(vocabulary.encode_words([w for k, w in zip(number, words) if k < 0]))
+            return [known.ids_of(k) if k >= 0 else next(unseen) for k in number]
 
         _workers.clear()
         _workers[lexicon] = WordEncoder(fresh)
@@ -331,10 +414,15 @@ def _counted(seen: Counter) -> pa.RecordBatch:
 
 
 def build_lexicon(docs: DataFrame, source: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Compile the ``words`` most frequent words (ties: in order) and bring the file to all
-    executors; returns its name. The driver holds ``words`` words at most."""
+    """Compile the most frequent words, ``words`` at most (words of equal count all or none), and
+    bring the file to all executors; returns its name."""
     spark = docs.sparkSession
-    top = [r["word"] for r in word_counts(docs, text).orderBy(F.desc("n"), "word").limit(words).collect()]
+    counts = saved(word_counts(docs, text), "word-counts")
+    # how many words have each count, from the largest on; the words up to the bound are collected, no others
+    steps = (counts.groupBy("n").agg(F.count(F.lit(1)).alias("m"))
+             .select("n", F.sum("m").over(W.orderBy(F.desc("n"))).alias("upto")))
+    least = steps.where(F.col("upto") <= words).agg(F.min("n")).first()[0]
+    top = [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()] if least is not None else []
     vocabulary = Vocabulary(source)
     made = Lexicon.build((w.encode() for w in top), lambda w: vocabulary.encode_word(w.decode()))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
