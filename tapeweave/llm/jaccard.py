@@ -246,8 +246,12 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
                 .join(found.withColumnRenamed("node", "doc"), "doc", "left")
                 .withColumn("component", F.coalesce("component", "doc")))
     labelled = saved(labelled, "labelled-lists")
-    open_lists = (labelled.groupBy("kind", "shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-                  .where("a < b").select("kind", "shingle"))
+    # lists of the same sets are one list: near copies share many shingles
+    open_lists = (labelled.groupBy("kind", "shingle")
+                  .agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("k"),
+                       F.bit_xor(F.xxhash64("doc")).alias("x1"), F.bit_xor(F.xxhash64(F.lit("list"), "doc")).alias("x2"))
+                  .where("a < b").groupBy("k", "x1", "x2").agg(F.min(F.struct("kind", "shingle")).alias("t"))
+                  .select("t.kind", "t.shingle"))
     parts = F.expr(f"cast(ceil(m / {block}) as int)")
     rows = (labelled.join(open_lists, ["kind", "shingle"])
             .withColumn("parts", parts).withColumn("part", F.expr("pmod(xxhash64(doc), parts)"))

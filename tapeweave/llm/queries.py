@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import bpe, decontaminate, forest, jaccard, line_dedup, quality, token_files, warc
+from tapeweave.llm import bpe, decontaminate, forest, jaccard, line_dedup, quality, secrets, token_files, warc
 from tapeweave.llm.common import table
 from tapeweave.session import workspace
 
@@ -51,6 +51,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "score", "predicted")
 
 
+def op7_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(which):
+        return F.concat_ws(",", F.transform(F.filter("findings", which), lambda f: F.concat_ws(
+            ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))))
+
+    def count(kind: str):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(lambda f: f["kind"] != "network").cast("binary"), 256).alias("base_sha256"),
+                        listed(lambda f: F.lit(True)).alias("spans"))
+
+
 def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
@@ -77,6 +92,7 @@ QUERIES = {
     "op4_embedding_forest": op4_embedding_forest,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
+    "op7_secret_network": op7_secret_network,
     "op8_bpe_lexicon": op8_bpe_lexicon,
     "op10_warc": op10_warc,
 }
