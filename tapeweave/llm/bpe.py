@@ -33,7 +33,8 @@ from tapeweave.llm.common import saved, with_column
 from tapeweave.session import workspace
 
 LEXICON_WORDS = 65_536  # bounds the automaton; a word outside is merged, never dropped
-MEMO_WORDS = 300_000  # ids of recent words that a worker keeps
+MEMO_WORDS = 150_000  # ids of recent words that a worker keeps
+MEMO_PIECES = 50_000  # and of recent pieces of them
 LONG_WORD = 64  # longer words are neither counted nor kept
 FLUSH_WORDS = 400_000  # distinct words that a counting task holds at once
 # Fixed value: the pattern of the byte-level pre-tokenizer.
@@ -108,7 +109,7 @@ class Vocabulary:
             at = np.searchsorted(ends, want)
             if not (ends[at] == want).all():
                 raise AssertionError("a word ran into the next one")
-            if len(self.pieces) > MEMO_WORDS // 2:
+            if len(self.pieces) > MEMO_PIECES:
                 self.pieces.clear()
             known = self.pieces
             new = list({p for p in pieces if p not in known})
@@ -174,7 +175,7 @@ class Vocabulary:
         if ids is None:
             ids = self._merge(piece)
             if len(piece) <= LONG_WORD:
-                if len(self.known) >= MEMO_WORDS // 2:
+                if len(self.known) >= MEMO_PIECES:
                     self.known.clear()
                 self.known[piece] = ids
         return ids
@@ -373,7 +374,7 @@ def lexicon_encoder(source: str, lexicon: str) -> WordEncoder:
     return _workers[lexicon]
 
 
-def groups(texts: list[str | None], size: int = 4 << 20) -> Iterator[list[str]]:
+def groups(texts: list[str | None], size: int = 1 << 20) -> Iterator[list[str]]:
     """Texts (null: empty) in runs of about ``size`` characters, so that memory stays bounded."""
     run, n = [], 0
     for t in texts:

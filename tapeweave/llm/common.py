@@ -13,6 +13,7 @@ from tapeweave.session import workspace
 
 # ASCII white space: x20 and x09 to x0D.
 WS = " \t\n\x0b\x0c\r"
+ROWS = 1000  # that a task makes a column for in one step
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -71,7 +72,7 @@ def with_column(df: DataFrame, source: str, out: str, kind: T.DataType, run: Cal
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, kind)])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             made = run(batch.column(batch.schema.get_field_index(source)))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), made],
                                              [*keep, out])
