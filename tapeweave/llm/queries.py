@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import bpe, decontaminate, forest, jaccard, line_dedup, quality, secrets, token_files, warc
+from tapeweave.llm import bpe, decontaminate, forest, jaccard, line_dedup, quality, repeats, secrets, token_files, warc
 from tapeweave.llm.common import table
 from tapeweave.session import workspace
 
@@ -75,6 +75,13 @@ def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes",
+                        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "warc")
     manifest = warc.write(table(spark, sf_dir, "pages"), out)
@@ -94,5 +101,6 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_network": op7_secret_network,
     "op8_bpe_lexicon": op8_bpe_lexicon,
+    "op9_repeats": op9_repeats,
     "op10_warc": op10_warc,
 }
