@@ -55,7 +55,7 @@ def keep_bitmaps(docs: DataFrame, id: str = "doc_id", text: str = "text", min_ch
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stream = (W.partitionBy("h1", "h2", "salt").orderBy("doc", "pos")
               .rowsBetween(W.unboundedPreceding, W.currentRow))
-    met = (lines.repartitionByRange(n, "h1", "h2", "salt", )
+    met = (lines.repartitionByRange(n, "h1", "h2", "salt")
            .withColumn("first", F.first("doc").over(stream)))
     again = met.where("doc > first").select("doc", "row", "pos")
     # at most ``salts`` documents of a key are left
@@ -74,7 +74,7 @@ def dedup_lines(docs: DataFrame, bitmaps: DataFrame | None = None, id: str = "do
     ``n_lines`` (before) and ``n_dropped`` behind its columns.
 
     Every row stays. A text that loses no line is unchanged (null stays null);
-    one that loses all of them is empty.
+    one that loses all of them is empty. Columns of the two names are replaced.
     """
     bitmaps = keep_bitmaps(docs, id, text) if bitmaps is None else bitmaps
     inner = docs.select(F.col(id).alias("doc"), _row(F.col(text)).alias("row"), F.struct("*").alias("all"),
@@ -84,10 +84,10 @@ def dedup_lines(docs: DataFrame, bitmaps: DataFrame | None = None, id: str = "do
     kept = F.expr("filter(lines, (x, i) -> (shiftright(dense[shiftright(i, 6)], i & 63) & 1) = 1)")
     out = (inner.join(bitmaps, ["doc", "row"], "left")
            .withColumn("lines", _lines(F.col("text")))
-           .withColumn("dense", F.when(F.col("n_dropped") > 0, F.lit(1)))
            .withColumn("words", F.map_from_entries("keep"))
            .withColumn("dense", F.when(F.col("n_dropped") > 0, dense))
            .withColumn("kept", F.when(F.col("n_dropped") > 0, F.concat_ws("\n", kept)).otherwise(F.col("text"))))
-    names = [F.col("kept").alias(c) if c == text else F.col("all")[c].alias(c) for c in docs.columns]
+    names = [F.col("kept").alias(c) if c == text else F.col("all")[c].alias(c)
+             for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return out.select(*names, F.size("lines").cast("long").alias("n_lines"),
                       F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"))

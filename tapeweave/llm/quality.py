@@ -198,11 +198,12 @@ def classify(docs: DataFrame, model: RuleModel, text: str = "text", threshold: f
     """``docs`` with ``score`` (0 to 1, higher: better) and ``predicted`` behind its columns.
 
     Every row stays and is scored by its whole text; null and empty texts get
-    the score of all-zero statistics. Equal texts get equal scores.
+    the score of all-zero statistics. Equal texts get equal scores. Columns of
+    these two names are replaced.
     """
     stats = statistics(F.col("text"))
     return (docs.select(F.struct("*").alias("all"), F.col(text).alias("text"))
             .select("all", *[c.alias(k) for k, c in stats.items()])
             .select("all", model.score().alias("score"))
-            .select(*[F.col("all")[c].alias(c) for c in docs.columns], "score",
+            .select(*[F.col("all")[c].alias(c) for c in docs.columns if c not in ("score", "predicted")], "score",
                     F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")))
