@@ -14,10 +14,11 @@ of the wanted similarity share at least ``1 + s`` shingles among the first
    all their shingles among themselves;
 4. in each list every set is first compared with the list's smallest document,
    which joins large groups of near copies by as many pairs as they have sets;
-5. lists whose sets aren't yet in one component go through a trie of the whole
-   ordered sets: a walk shares the overlap of common beginnings and leaves a
-   subtree when what remains can't reach the similarity. Very long lists are
-   dealt out as pairs of blocks.
+5. lists whose sets aren't yet in one component go through a trie of the ordered
+   extended prefixes: a walk shares the overlap of common beginnings and leaves
+   a subtree when what remains of both sets can't reach the similarity. Very
+   long lists are dealt out as pairs of blocks;
+6. what the trie leaves possible is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -97,78 +98,105 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 class Trie:
-    """Ordered sets by common beginnings; each node knows the sizes of the sets behind it."""
+    """Beginnings of ordered sets by what they share; each node knows the sizes of the sets behind it.
+
+    Sets may be given whole or by their first elements; a set of which only
+    those are known is found unless what is known rules it out.
+    """
 
     def __init__(self):
         self.root: list = [{}, 1 << 60, 0, []]  # children by shingle, least and greatest size, sets that end here
 
-    def add(self, values: list[int], n: int, key: int) -> None:
+    def add(self, values: list[int], size: int, key: int) -> None:
         node = self.root
         for v in values:
-            node[1], node[2] = min(node[1], n), max(node[2], n)
+            node[1], node[2] = min(node[1], size), max(node[2], size)
             below = node[0].get(v)
             if below is None:
                 below = node[0][v] = [{}, 1 << 60, 0, []]
             node = below
-        node[1], node[2] = min(node[1], n), max(node[2], n)
-        node[3].append(key)
+        node[1], node[2] = min(node[1], size), max(node[2], size)
+        node[3].append((key, size))
 
-    def similar(self, values: list[int], num: int, den: int) -> list[int]:
-        """Keys of the sets that are similar enough to ``values``."""
-        size = len(values)
+    def similar(self, values: list[int], size: int, num: int, den: int) -> list[int]:
+        """Keys of the sets that may be similar enough to the one of ``size`` that begins with ``values``."""
         found: list[int] = []
+        known = len(values)
+        least = (num * size + den - 1) // den
         todo = [(self.root, 0, 0, 0)]  # node, place in ``values``, depth, overlap so far
         while todo:
             node, i, depth, both = todo.pop()
             while True:
-                if both + min(size - i, node[2] - depth) < _required(size, max(node[1], depth), num, den):
+                # a smaller partner asks for a smaller overlap, a larger one leaves more to come
+                if both + min(size - i, node[2] - depth) < _required(size, max(node[1], least), num, den):
                     break
-                if node[3] and den * both >= num * (size + depth - both):
-                    found += node[3]
+                for key, n in node[3]:
+                    if both + min(size - i, n - depth) >= _required(size, n, num, den):
+                        found.append(key)
                 children = node[0]
+                if i == known:  # nothing more is known: all that is possible below
+                    for below in children.values():
+                        self._below(below, size, size - i, depth, both, num, den, found)
+                    break
                 if len(children) != 1:
                     for v, below in children.items():
                         j = i
-                        while j < size and values[j] < v:
+                        while j < known and values[j] < v:
                             j += 1
-                        hit = j < size and values[j] == v
-                        todo.append((below, j + hit, depth + 1, both + hit))
+                        if j < known and values[j] == v:
+                            todo.append((below, j + 1, depth + 1, both + 1))
+                        elif j < known or known == size:
+                            todo.append((below, j, depth + 1, both))
+                        else:
+                            self._below(below, size, size - j, depth, both, num, den, found)
                     break
-                (v, node), = children.items()
-                while i < size and values[i] < v:
+                (v, below), = children.items()
+                while i < known and values[i] < v:
                     i += 1
-                if i < size and values[i] == v:
+                if i == known and known < size:
+                    self._below(below, size, size - i, depth, both, num, den, found)
+                    break
+                if i < known and values[i] == v:
                     i, both = i + 1, both + 1
-                depth += 1
+                node, depth = below, depth + 1
         return found
 
+    def _below(self, node: list, size: int, rest: int, depth: int, both: int, num: int, den: int, found: list[int]) -> None:
+        todo = [node]
+        while todo:
+            node = todo.pop()
+            if both + min(rest, node[2] - depth) < _required(size, max(node[1], (num * size + den - 1) // den), num, den):
+                continue
+            found += [key for key, n in node[3] if both + min(rest, n - depth) >= _required(size, n, num, den)]
+            todo += node[0].values()
+
 
 def _walk(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between the sets of each list (rows sorted by ``key``); side 0 meets side 1 in a pair of blocks."""
+    """Pairs of each list (rows sorted by ``key``) that may be similar; side 0 meets side 1 in a pair of blocks."""
 
     def links(group: list[tuple]) -> list[tuple[int, int]]:
         trie, comp = Trie(), {}
         out = []
         sides = len({r[3] for r in group}) > 1
-        for _, doc, component, side, values in group:
+        for _, doc, component, side, size, values in group:
             comp[doc] = component
             if sides and side == 1:
                 continue
             if not sides:
-                out += [(doc, d) for d in trie.similar(values, num, den) if comp[d] != component]
-            trie.add(values, len(values), doc)
+                out += [(doc, d) for d in trie.similar(values, size, num, den) if comp[d] != component]
+            trie.add(values, size, doc)
         if sides:
-            for _, doc, component, side, values in group:
+            for _, doc, component, side, size, values in group:
                 if side == 1:
-                    out += [(doc, d) for d in trie.similar(values, num, den) if comp[d] != component]
+                    out += [(doc, d) for d in trie.similar(values, size, num, den) if comp[d] != component]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
         for batch in batches:
             found: list[tuple[int, int]] = []
-            cols = [batch.column(i).to_pylist() for i in range(4)]
-            lists = batch.column(4)
+            cols = [batch.column(i).to_pylist() for i in range(5)]
+            lists = batch.column(5)
             off, val = lists.offsets.to_pylist(), lists.values.to_numpy()
             for i, row in enumerate(zip(*cols)):
                 if group and row[0] != group[0][0]:
@@ -260,9 +288,12 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
             .withColumn("side", F.expr("cast(part > other as int)"))
             .select(F.xxhash64("kind", "shingle", F.least("part", "other"), F.greatest("part", "other")).alias("key"),
                     "doc", "component", "side"))
-    rows = rows.join(whole.select("doc", "shingles"), "doc").select("key", "doc", "component", "side", "shingles")
+    begin = whole.select("doc", "n", F.slice("shingles", F.lit(1), _int(f"cast({p} + {p} div 2 as int)")).alias("shingles"))
+    rows = rows.join(begin, "doc").select("key", "doc", "component", "side", "n", "shingles")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    more = saved(_walk(rows.repartition(n, "key").sortWithinPartitions("key", "side", "doc"), num, den).distinct(), "links")
+    maybe = saved(_walk(rows.repartition(n, "key").sortWithinPartitions("key", "side", "doc"), num, den)
+                  .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
+    more = saved(_verify(maybe, whole, num, den), "links")
     final = components(links.unionByName(more), "x", "y") if not more.isEmpty() else found
     of_class = (classes.select("n", "s1", "s2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("n", "s1", "s2", F.coalesce("component", "rep").alias("least")))
