@@ -34,7 +34,7 @@ from tapeweave.sources import ledger as led
 from tapeweave.sources import sinks
 from tapeweave.sources.scan import scan_bars
 from tapeweave.sources.store import BarStore
-from tapeweave.streaming.files import drain, read_stream, read_upserts, upsert_writer
+from tapeweave.streaming.files import drain, fold_upserts, read_stream, read_upserts, upsert_writer
 from tapeweave.streaming.merge import merge_stream
 from tapeweave.streaming.series import bar_stream, stitch_stream
 
@@ -307,22 +307,68 @@ def export_run(spark, d):
 
 
 def stream_merge(spark, d):
-    rows = _split(spark, fx.day_bars(spark, d), "stream-in")
+    """Three micro-batches in a fixed order; keys and ties cross them, as in ``merge_incremental``."""
+    rows = fx.day_bars(spark, d, keep=("expiry", "part"))
+    path = workspace(spark, "stream-in")
     store = BarStore(spark, workspace(spark, "store"))
-    schema = fx.day_bars(spark, d).schema
-    drain(merge_stream(read_stream(spark, rows, schema, 1), store, "days",
-                       workspace(spark, "checkpoint"), "days"))
-    # Each key lies in one file, so ties are settled by the order inside a batch.
+    checkpoint = workspace(spark, "checkpoint")
+    for part in range(3):
+        rows.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(path)
+        drain(merge_stream(read_stream(spark, path, rows.drop("part").schema), store, "days", checkpoint, "days"))
     return store.read("days")
 
 
+def _faulty(spark, d):
+    """Day bars of which some lack a volume or a symbol."""
+    rows = fx.day_bars(spark, d, keep=("expiry", "line_no"))
+    return (rows.withColumn("volume", F.when(F.col("line_no") != 6, F.col("volume")))
+            .withColumn("symbol", F.when(F.col("line_no") == 7, "  ").when(F.col("line_no") != 5, F.col("symbol"))))
+
+
+def validate_rejects(spark, d):
+    """Refused rows of a merge, by reason."""
+    store = BarStore(spark, workspace(spark, "store"))
+    store.merge(_faulty(spark, d).drop("line_no"), "days")
+    return store.rejects("days").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("bars"))
+
+
+def validate_kept(spark, d):
+    """What the same merge keeps."""
+    store = BarStore(spark, workspace(spark, "store"))
+    store.merge(_faulty(spark, d).drop("line_no"), "days")
+    return store.read("days")
+
+
+def merge_vacuumed(spark, d):
+    """As ``merge_compacted``, with the ledger rewritten and unreachable batches deleted."""
+    store = BarStore(spark, workspace(spark, "store"))
+    rows = fx.day_bars(spark, d, keep=("expiry", "part"))
+    for part in range(3):
+        store.merge(rows.filter(F.col("part") == part), "days")
+    store.compact("days")
+    store.compact_ledger()
+    store.vacuum()
+    return store.read("days")
+
+
+def export_run_open_ended(spark, d):
+    """Two open-ended runs; the second loads the days after the first one's."""
+    store = BarStore(spark, workspace(spark, "store"))
+    catalog, raw = fx.instruments(spark, d), fx.raw_ticks(spark, d)
+    export_series(store, catalog, raw, None, "ticks", datetime(2024, 1, 15), FROM)
+    return export_series(store, catalog, raw, None, "ticks", NOW, FROM).series
+
+
 def stream_stitch(spark, d):
+    """Two streams over one sink: the second has a new checkpoint and sees all rows again."""
     src = fx.day_bars(spark, d).withColumn("_slice", F.xxhash64("open") % 3)
-    path = workspace(spark, "stream-in")
-    src.repartition(3, "_slice").drop("_slice").write.parquet(path)
-    live = stitch_stream(read_stream(spark, path, fx.day_bars(spark, d).schema, 1))
-    out = workspace(spark, "stream-out")
-    drain(upsert_writer(live, out, workspace(spark, "checkpoint")), spark.sparkContext.defaultParallelism)
+    path, out = workspace(spark, "stream-in"), workspace(spark, "stream-out")
+    schema = fx.day_bars(spark, d).schema
+    for mine in (F.col("_slice") != 0, F.col("_slice") == 0):
+        src.filter(mine).repartition(2, "_slice").drop("_slice").write.mode("append").parquet(path)
+        live = stitch_stream(read_stream(spark, path, schema, 1))
+        drain(upsert_writer(live, out, workspace(spark, "checkpoint")), spark.sparkContext.defaultParallelism)
+    fold_upserts(spark, out, live.schema, KEY)
     return read_upserts(spark, out, live.schema, KEY).select(BAR)
 
 
@@ -388,6 +434,10 @@ _QUERIES = {
     "stream_merge": stream_merge,
     "stream_stitch": stream_stitch,
     "stream_bars": stream_bars,
+    "validate_rejects": validate_rejects,
+    "validate_kept": validate_kept,
+    "merge_vacuumed": merge_vacuumed,
+    "export_run_open_ended": export_run_open_ended,
 }
 
 
@@ -683,7 +733,16 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT timestamp, contract, NULL, 'other', open, high, low, close, volume FROM day_series""",
         "export_run": f"""WITH {_F1}, {_F3} SELECT {tick_bar} FROM f1 JOIN kept USING (symbol, contract) WHERE {_RANGE}
             QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, expiry, contract, {_TIE}) = 1""",
-        "stream_merge": stitched_days,
+        "stream_merge": f"WITH {_MERGED}",
+        "merge_vacuumed": f"WITH {_MERGED}",
+        "validate_rejects": f"""WITH {_F2} SELECT CASE l_linenumber WHEN 7 THEN 'blank symbol' WHEN 6 THEN 'null: volume'
+            ELSE 'null: symbol' END AS reject_reason, count(*) AS bars FROM f2 WHERE l_linenumber IN (5, 6, 7) GROUP BY ALL""",
+        "validate_kept": f"""WITH {_F2} SELECT {_BAR} FROM f2 WHERE l_linenumber NOT IN (5, 6, 7)
+            QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, rank, contract, {_TIE}) = 1""",
+        "export_run_open_ended": f"""WITH {_F1}, {_F3} SELECT {tick_bar} FROM f1 JOIN kept USING (symbol, contract)
+            WHERE timestamp >= TIMESTAMP '2024-01-05' AND timestamp <=
+              CASE WHEN expiry <= DATE '2024-01-14' THEN TIMESTAMP '2024-01-15' ELSE TIMESTAMP '2024-02-01' END
+            QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, expiry, contract, {_TIE}) = 1""",
         "stream_stitch": stitched_days,
         "stream_bars": f"WITH {_F1} {_bars('time_bucket(INTERVAL 1 HOUR, timestamp)')}",
     }

@@ -34,19 +34,23 @@ def ticks_as_bars(ticks: DataFrame) -> DataFrame:
     return ticks.select(*rest, *[F.col("price").alias(c) for c in OHLC])
 
 
-def validate_bars(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into rows the store accepts and rejected rows with the reason.
+def with_reject_reason(df: DataFrame) -> DataFrame:
+    """Add ``reject_reason``: why the store refuses a row, null for the rows that it accepts.
 
     All columns but ``contract`` must be filled, and a symbol may not be blank.
     """
     needed = [f.name for f in BARS.fields if f.name != "contract" and f.name in df.columns]
     filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed])
-    accepted = filled & (F.trim("symbol") != "")
     missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
-    rejected = (df.filter(~F.coalesce(accepted, F.lit(False)))
-                .withColumn("reject_reason", F.when(filled, "blank symbol")
-                            .otherwise(F.concat(F.lit("null: "), missing))))
-    return df.filter(accepted), rejected
+    return df.withColumn("reject_reason", F.when(~filled, F.concat(F.lit("null: "), missing))
+                         .when(F.trim("symbol") == "", "blank symbol"))
+
+
+def validate_bars(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split into rows the store accepts and rejected rows with the reason."""
+    tagged = with_reject_reason(df)
+    return (tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
+            tagged.filter(F.col("reject_reason").isNotNull()))
 
 
 def select_streams(df: DataFrame, which: str | None = "all") -> DataFrame:

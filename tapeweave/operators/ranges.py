@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.functions.time import (MICROS_PER_DAY, MICROS_PER_MS, instant, micros_of,
+from tapeweave.functions.time import (MICROS_PER_DAY, MICROS_PER_MS, UTC_NAMES, instant, micros_of,
                                       naive_utc, wall_clock)
 from tapeweave.schema import EARLIEST, check_period
 
@@ -51,10 +51,24 @@ class DateRange:
         return self.start.replace(tzinfo=zone), end.replace(tzinfo=zone)
 
 
-def resolve_range(frm: date | None, to: date | None, now: datetime) -> DateRange:
-    """Whole local days when both ends are given; from 1990 and up to ``now`` otherwise."""
+def local_now(now: datetime, tz: str = "UTC") -> datetime:
+    """``now`` on the source's wall clock; a value without a zone is taken as UTC."""
+    return naive_utc(now) if tz in UTC_NAMES else \
+        naive_utc(now).replace(tzinfo=timezone.utc).astimezone(ZoneInfo(tz)).replace(tzinfo=None)
+
+
+def resolve_range(frm: date | None, to: date | None, now: datetime, tz: str = "UTC") -> DateRange:
+    """Whole local days when both ends are given; from 1990 and up to ``now`` otherwise.
+
+    An open end is the instant ``now`` in ``tz``. There a value without a zone
+    could be meant either way, so it is refused unless ``tz`` is UTC.
+    """
     if frm and to and to < frm:
         raise ValueError("the to date must be on or after the from date")
+    if to is None:
+        if now.tzinfo is None and tz not in UTC_NAMES:
+            raise ValueError(f"an open-ended request in {tz} needs a now with a time zone")
+        now = local_now(now, tz)
     start = datetime.combine(frm or date.fromisoformat(EARLIEST), datetime.min.time())
     if to is None:
         return DateRange(start, now, True)

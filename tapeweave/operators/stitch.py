@@ -51,15 +51,26 @@ def dedup(bars: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def with_expiry(bars: DataFrame, catalog: DataFrame | None) -> DataFrame:
-    """Add ``expiry`` from the catalog unless the bars already carry it."""
+    """Add ``expiry`` from the catalog unless the bars already carry it.
+
+    Futures only, and of a contract that is listed twice the earliest expiry,
+    whatever the order of the rows.
+    """
     if "expiry" in bars.columns:
         return bars
     if catalog is None:
         return bars.withColumn("expiry", F.lit(None).cast("date"))
-    dim = catalog.select("symbol", "contract", "expiry").dropDuplicates(["symbol", "contract"])
+    dim = one_expiry(catalog)
     return join_dim(bars, dim, ["symbol", "contract"], "left", spread=["price_type", "unix_ms"])
 
 
+def one_expiry(catalog: DataFrame) -> DataFrame:
+    """(symbol, contract, expiry) with one row per future."""
+    if "instrument_type" in catalog.columns:
+        catalog = catalog.filter(F.col("instrument_type") == "Future")
+    return catalog.groupBy("symbol", "contract").agg(F.min("expiry").alias("expiry"))
+
+
 def stitch(bars: DataFrame, catalog: DataFrame | None = None, keep_all_ticks: bool = False) -> DataFrame:
     """The continuous series: per (symbol, price_type, unix_ms) the bar that wins.
 
@@ -67,7 +78,7 @@ def stitch(bars: DataFrame, catalog: DataFrame | None = None, keep_all_ticks: bo
     and ``contract`` names the winner. Ticks of one millisecond collapse to
     one unless ``keep_all_ticks`` adds ``seq`` to the key.
     """
-    keys = [*RANK_KEY, "seq"] if keep_all_ticks else RANK_KEY
+    keys = [*RANK_KEY, "seq"] if keep_all_ticks else list(RANK_KEY)
     return top_one(with_expiry(bars, catalog), keys, preference())
 
 

@@ -21,10 +21,10 @@ _local_dirs: dict[str, str] = {}
 def shuffle_partitions(input_bytes: int, cores: int = 8, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Initial shuffle partitions for an input: about ``target_bytes`` of it each.
 
-    Adaptive execution joins small ones afterwards, so this may be generous;
-    the cap keeps shuffle bookkeeping in bounds on the largest inputs.
+    Adaptive execution joins small ones afterwards, so this may be generous.
+    For the largest inputs a larger ``target_bytes`` keeps their number down.
     """
-    return max(cores, min(50_000, -(-input_bytes // target_bytes)))
+    return max(cores, -(-input_bytes // target_bytes))
 
 
 def session(app: str = "tapeweave", input_bytes: int | None = None, **conf: str) -> SparkSession:
@@ -120,3 +120,9 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                             F.lit(SALTS - 1).cast("bigint"))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder in whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -35,6 +35,23 @@ def coverage(ledger: DataFrame, table_name: str, frm: date, to: date) -> DataFra
                  F.count(F.lit(1)).alias("ledger_rows")))
 
 
+def covered_ends(ledger: DataFrame, table_name: str, frm: date) -> DataFrame:
+    """Per contract the last day up to which one ledger row covers everything from ``frm`` on: ``covered_end``."""
+    rows = ledger.filter((F.col("table_name") == table_name) & F.col("to_date").isNotNull()
+                         & (F.col("from_date") <= F.lit(frm.isoformat()).cast("date")))
+    return rows.groupBy("symbol", "contract").agg(F.max("to_date").alias("covered_end"))
+
+
+def unfinished(contracts: DataFrame, ledger: DataFrame, table_name: str, frm: date) -> DataFrame:
+    """What an open-ended request still has to load: contracts with ``covered_end`` (null: nothing is covered).
+
+    A contract that expired by then is finished. The others need the days after it.
+    """
+    known = join_dim(contracts, covered_ends(ledger, table_name, frm), ["symbol", "contract"], "left")
+    return known.filter(F.col("covered_end").isNull() | F.col("expiry").isNull()
+                        | (F.col("expiry") > F.col("covered_end")))
+
+
 def pending(contracts: DataFrame, ledger: DataFrame, table_name: str, frm: date, to: date) -> DataFrame:
     """Contracts no single ledger row covers for the request."""
     return join_dim(contracts, coverage(ledger, table_name, frm, to).select("symbol", "contract"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from datetime import date, datetime, timezone
 
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeweave.functions.time import instant
-from tapeweave.operators.bars import bar_columns
+from tapeweave.operators.bars import bar_columns, with_reject_reason
 from tapeweave.operators.inspect import store_summary
-from tapeweave.operators.stitch import RANK_KEY, stitch, top_one
+from tapeweave.operators.stitch import RANK_KEY, dedup_order, preference, top_one, with_expiry
 from tapeweave.schema import BAR_COLUMNS, BARS, KEY, LEDGER, TIMEFRAMES, check_timeframe
-from tapeweave.session import fits_broadcast, join_dim, measure, pin_utc
+from tapeweave.session import fits_broadcast, join_dim, measure, pin_utc, remove_path, written
 from tapeweave.sources import ledger as led
 
 _LAYOUT = ["timeframe", "batch", "symbol"]
@@ -27,13 +28,16 @@ class BarStore:
 
     A merge writes its batch to folders no reader looks at, then appends the
     ledger rows that name it. A run that dies in between leaves nothing
-    visible, and nothing is ever overwritten in place. One writer at a time.
+    visible, and nothing is ever overwritten in place. One writer at a time;
+    should two overlap, ties between their batches are settled by batch name.
+    Rows the store may not hold go to its rejects, with the reason.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = pin_utc(spark)
         self.path = path.rstrip("/")
         self._bars, self._ledger = f"{self.path}/bars", f"{self.path}/ledger"
+        self._rejects = f"{self.path}/rejects"
         spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(self._ledger)
 
     def ledger(self) -> DataFrame:
@@ -56,7 +60,7 @@ class BarStore:
         found = measure(live, F.count_distinct("batch").alias("batches"))
         if not found["rows"]:
             return self.spark.createDataFrame([], BARS)
-        rows = self.spark.read.schema(_STORED).parquet(self._bars).filter(F.col("timeframe") == timeframe)
+        rows = self._files(timeframe, live, found)
         if symbol is not None:
             rows = rows.filter(F.col("symbol") == symbol)
         # The batch folder is a partition column: the broadcast list of live
@@ -64,9 +68,34 @@ class BarStore:
         rows = join_dim(rows.withColumn("contract", F.coalesce("contract", F.lit(""))), live, _LAYOUT, found=found)
         # Keys are unique inside a batch, so a single one needs no ranking.
         if found["batches"] > 1 or not fits_broadcast(found):
-            rows = top_one(rows, RANK_KEY, [F.col("volume").desc(), F.col("batch_id")])
+            rows = top_one(rows, RANK_KEY, [F.col("volume").desc(), F.col("batch_id"), F.col("batch")])
         return rows.select(*BAR_COLUMNS)
 
+    def _files(self, timeframe: str, live: DataFrame, found) -> DataFrame:
+        """Stored rows of a timeframe. Only folders of live batches are listed, unless they are
+        too many to name one by one; the join with the ledger decides either way."""
+        reader = self.spark.read.schema(_STORED)
+        if not fits_broadcast(found):
+            return reader.parquet(self._bars).filter(F.col("timeframe") == timeframe)
+        names = sorted(r["batch"] for r in live.select("batch").distinct().collect())
+        return (reader.option("basePath", self._bars)
+                .parquet(*[f"{self._bars}/timeframe={timeframe}/batch={n}" for n in names]))
+
+    def rejects(self, timeframe: str | None = None) -> DataFrame:
+        """Rows that merges refused: their columns, ``reject_reason``, ``timeframe`` and ``batch``."""
+        schema = T.StructType([*BARS.fields, T.StructField("reject_reason", T.StringType()),
+                               T.StructField("timeframe", T.StringType()), T.StructField("batch", T.StringType())])
+        self.spark.createDataFrame([], schema).write.partitionBy("timeframe", "batch").mode("ignore").parquet(self._rejects)
+        rows = self.spark.read.schema(schema).parquet(self._rejects)
+        return rows if timeframe is None else rows.filter(F.col("timeframe") == check_timeframe(timeframe))
+
+    def has_bars(self, timeframe: str, symbol: str | None = None) -> bool:
+        """Whether live batches hold any bar, as the ledger counts them."""
+        rows = self.live_ledger().filter(F.col("table_name") == check_timeframe(timeframe))
+        if symbol is not None:
+            rows = rows.filter(F.col("symbol") == symbol)
+        return not rows.filter("bars_count > 0").isEmpty()
+
     def summary(self, symbol: str | None = None) -> DataFrame:
         """Bars and time range per timeframe, symbol and stream; empty timeframes are listed with 0."""
         return store_summary({t: self.read(t, symbol) for t in TIMEFRAMES})
@@ -87,11 +116,33 @@ class BarStore:
         if commit_key is not None and not entries.filter(F.col("commit_key") == commit_key).isEmpty():
             return None
         batch, batch_id = uuid.uuid4().hex, self._next_batch_id(entries)
-        self._write(bar_columns(stitch(bars, catalog)), timeframe, batch)
-        self._commit(self._marks(bars, contracts), entries, timeframe, batch, batch_id, frm, to,
+        staged = self._stage(bars, catalog)
+        self._keep_rejects(staged, timeframe, batch, commit_key)
+        kept = staged.filter(F.col("reject_reason").isNull())
+        self._write(bar_columns(top_one(kept, RANK_KEY, preference())), timeframe, batch)
+        self._commit(self._marks(kept, contracts), entries, timeframe, batch, batch_id, frm, to,
                      replace, commit_key, completed_at)
         return batch_id
 
+    def _stage(self, bars: DataFrame, catalog: DataFrame | None) -> DataFrame:
+        """The input, read once: validated, one bar per key within a contract, every refused row.
+
+        What is merged, counted and refused is taken from these files, so it
+        is the same rows whatever happens to the source meanwhile.
+        """
+        tagged = with_reject_reason(with_expiry(bars, catalog))
+        # refused rows have a key of their own and are never each other's duplicates
+        own = F.when(F.col("reject_reason").isNotNull(), F.monotonically_increasing_id())
+        rows = top_one(tagged.withColumn("_own", own), [*RANK_KEY, "contract", "_own"], dedup_order())
+        return written(rows.select(*BAR_COLUMNS, "expiry", "reject_reason"), "staged")
+
+    def _keep_rejects(self, staged: DataFrame, timeframe: str, batch: str, commit_key: str | None) -> None:
+        refused = staged.filter(F.col("reject_reason").isNotNull()).drop("expiry")
+        if not refused.isEmpty():
+            # a commit that is tried again replaces what it refused before
+            name = hashlib.sha256(commit_key.encode()).hexdigest()[:32] if commit_key else batch
+            refused.write.mode("overwrite").parquet(f"{self._rejects}/timeframe={timeframe}/batch={name}")
+
     def replace(self, bars: DataFrame, timeframe: str, **request) -> int | None:
         """``merge`` that drops what the named symbols had in this timeframe."""
         return self.merge(bars, timeframe, replace=True, **request)
@@ -109,6 +160,27 @@ class BarStore:
         self._append(rows)
         return batch_id
 
+    def compact_ledger(self) -> None:
+        """Rewrite the ledger as one file. Until the old files are gone its rows are there twice, which no reader minds."""
+        before = self.ledger().inputFiles()
+        self._append(self.ledger().distinct())
+        for path in before:
+            remove_path(self.spark, path)
+
+    def vacuum(self) -> int:
+        """Delete batches that the ledger names but no reader can see any more; returns how many.
+
+        Batches the ledger does not name may belong to a merge that is still
+        running and are left alone. Reads planned before may lose their files.
+        """
+        entries = self.ledger()
+        dead = (entries.select("table_name", "batch").distinct()
+                .join(self.live_ledger().select("table_name", "batch").distinct(), ["table_name", "batch"], "left_anti"))
+        names = [tuple(r) for r in dead.collect()]  # one name per dead batch
+        for timeframe, batch in names:
+            remove_path(self.spark, f"{self._bars}/timeframe={timeframe}/batch={batch}")
+        return len(names)
+
     def pending(self, contracts: DataFrame, timeframe: str, frm: date, to: date) -> DataFrame:
         return led.pending(contracts, self.live_ledger(), timeframe, frm, to)
 
@@ -122,9 +194,8 @@ class BarStore:
          .write.partitionBy("symbol").parquet(f"{self._bars}/timeframe={timeframe}/batch={batch}"))
 
     def _marks(self, bars: DataFrame, contracts: DataFrame | None) -> DataFrame:
-        """Bars per contract after duplicates of one contract are removed; key columns only."""
-        counted = (bars.select("symbol", "contract", "price_type", "unix_ms").distinct()
-                   .groupBy("symbol", "contract").agg(F.count(F.lit(1)).alias("bars_count")))
+        """Bars per contract; ``bars`` hold no duplicates within one."""
+        counted = bars.groupBy("symbol", "contract").agg(F.count(F.lit(1)).alias("bars_count"))
         if contracts is None:
             return counted
         return (contracts.select("symbol", "contract").distinct()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tapeweave.operators.stitch import top_one
+from tapeweave.session import remove_path
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
@@ -21,22 +24,83 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return reader.parquet(path)
 
 
+_UPSERT = ["_run", "_epoch"]
+
+
 def upsert_writer(df: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
     """Write each micro-batch of an update-mode aggregate to its own folder.
 
-    A repeated micro-batch rewrites its own folder, so at-least-once delivery
-    is enough; ``read_upserts`` returns the current row per key.
+    Folders are named by run and micro-batch. A checkpoint has one run number,
+    taken from the folder when it writes first, so a stream that starts anew
+    over old results counts as the newer one although its micro-batches begin
+    at 0 again. A repeated micro-batch rewrites its own folder, so
+    at-least-once delivery is enough; ``read_upserts`` returns the current row
+    per key. One stream at a time writes a folder.
     """
+    spark = df.sparkSession
+    mine = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    state: dict[str, int] = {}
+
+    def run_number(epoch: int) -> int:
+        if "run" not in state:
+            known = _runs(spark, out)
+            own = [r["run"] for r in known if r["checkpoint"] == mine]
+            # at its first micro-batch a checkpoint of the same name is a new one, unless that batch is being repeated
+            again = own and (epoch > 0 or not _wrote(spark, out, max(own), 1))
+            state["run"] = max(own) if again else 1 + max([r["run"] for r in known], default=0)
+            if not again:
+                (spark.createDataFrame([(state["run"], mine)], "run long, checkpoint string")
+                 .coalesce(1).write.mode("append").parquet(f"{out}/_runs"))
+        return state["run"]
+
     def put(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        batch.write.mode("overwrite").parquet(f"{out}/_run={run_number(epoch)}/_epoch={epoch}")
 
     return (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _wrote(spark: SparkSession, out: str, run: int, epoch: int) -> bool:
+    return _exists(spark, f"{out}/_run={run}/_epoch={epoch}")
+
+
+def _runs(spark: SparkSession, out: str) -> list:
+    """Runs so far, one small row each."""
+    path = f"{out}/_runs"
+    return spark.read.schema("run long, checkpoint string").parquet(path).collect() if _exists(spark, path) else []
+
+
+def _upserts(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    numbered = T.StructType(schema.fields + [T.StructField(c, T.LongType()) for c in _UPSERT])
+    paths = [f"{out}/_run={r}" for r in sorted({x["run"] for x in _runs(spark, out)}) if _exists(spark, f"{out}/_run={r}")]
+    if not paths:
+        return spark.createDataFrame([], numbered)
+    return spark.read.schema(numbered).option("basePath", out).parquet(*paths)
+
+
 def read_upserts(spark: SparkSession, out: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    with_epoch = T.StructType(schema.fields + [T.StructField("epoch", T.LongType())])
-    rows = spark.read.schema(with_epoch).parquet(out)
-    return top_one(rows, keys, [F.col("epoch").desc()]).drop("epoch")
+    newest = [F.col(c).desc() for c in _UPSERT]
+    return top_one(_upserts(spark, out, schema), keys, newest).drop(*_UPSERT)
+
+
+def fold_upserts(spark: SparkSession, out: str, schema: T.StructType, keys: list[str]) -> None:
+    """Rewrite the current rows as one folder, so reads do not rank all micro-batches for ever.
+
+    For a stream that is not running. The folded rows come first under a new
+    run number and the old folders go afterwards: a crash in between leaves
+    rows twice, of which the newest is read as before.
+    """
+    known = _runs(spark, out)
+    run = 1 + max([r["run"] for r in known], default=0)
+    current = read_upserts(spark, out, schema, keys)
+    current.write.mode("overwrite").parquet(f"{out}/_run={run}/_epoch=0")
+    spark.createDataFrame([(run, "folded")], "run long, checkpoint string").coalesce(1).write.mode("append").parquet(f"{out}/_runs")
+    for r in {x["run"] for x in known}:
+        remove_path(spark, f"{out}/_run={r}")
 
 
 def drain(writer: DataStreamWriter, state_partitions: int | None = None) -> None:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from tapeweave.operators.bars import validate_bars
 from tapeweave.sources.store import BarStore
 
 
@@ -16,16 +14,11 @@ def merge_stream(bars: DataFrame, store: BarStore, timeframe: str, checkpoint: s
 
     No watermark: a late bar of higher volume still replaces. ``name`` and the
     micro-batch number are the commit key, so a repeated micro-batch is
-    merged once. Streamed commits claim no date coverage. Micro-batches
+    merged once; rows the store may not hold end in ``store.rejects``. A stream
+    with a new checkpoint needs a new ``name``. Streamed commits claim no date coverage. Micro-batches
     add up to many store batches: call ``store.compact`` now and then.
     """
     def merge(batch: DataFrame, epoch: int) -> None:
-        # The merge reads its input for the bars and for the counts.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            good, _ = validate_bars(batch)
-            store.merge(good, timeframe, catalog, commit_key=f"{name}-{epoch}")
-        finally:
-            batch.unpersist()
+        store.merge(batch, timeframe, catalog, commit_key=f"{name}-{epoch}")
 
     return bars.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
