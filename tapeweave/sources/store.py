@@ -176,10 +176,8 @@ class BarStore:
         entries = self.ledger()
         dead = (entries.select("table_name", "batch").distinct()
                 .join(self.live_ledger().select("table_name", "batch").distinct(), ["table_name", "batch"], "left_anti"))
-        names = [tuple(r) for r in dead.collect()]  # one name per dead batch
-        for timeframe, batch in names:
-            remove_path(self.spark, f"{self._bars}/timeframe={timeframe}/batch={batch}")
-        return len(names)
+        return sum(remove_path(self.spark, f"{self._bars}/timeframe={r['table_name']}/batch={r['batch']}")
+                   for r in dead.collect())  # one name per dead batch; False where an earlier call has removed it
 
     def pending(self, contracts: DataFrame, timeframe: str, frm: date, to: date) -> DataFrame:
         return led.pending(contracts, self.live_ledger(), timeframe, frm, to)
