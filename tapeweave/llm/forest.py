@@ -1,13 +1,14 @@
-"""Embedding near-duplicates through a forest of random projection trees.
-
-Trees are fitted on a bounded sample of the distinct vectors: each node projects
-on the difference of two random vectors of it and splits at the median; vectors
-near the cut go to both sides. All vectors are dropped down all trees, those of
-a leaf are compared with each other exactly, and every pair counts in the
-smallest leaf that holds both, so nothing is counted twice. Tasks return how
-many vectors each one is linked with and a spanning forest of the links, never
-the pairs. Equal vectors are one class from the start; leaves of more than
-``BLOCK`` vectors are compared as pairs of blocks.
+"""Embedding near-duplicates through a tree of cuts that keep every link.
+
+The tree is fitted on a bounded sample of the distinct vectors. Two unit vectors
+of cosine t differ by sqrt(2 - 2t), so along any direction by no more: vectors
+within half of that of a cut go to both sides, and each link has a leaf that
+holds both its ends. A node is cut only where that saves comparisons; what
+can't be cut so (one tight group, or vectors spread in all directions) is a leaf
+and is compared whole, as pairs of blocks of ``BLOCK`` vectors. Every pair counts
+in the smallest leaf that holds both, so nothing is counted twice. Tasks return
+how many vectors each one is linked with and a spanning forest of the links,
+never the pairs. Equal vectors are one class from the start.
 """
 
 from __future__ import annotations
@@ -23,60 +24,71 @@ from pyspark.sql import functions as F
 from tapeweave.llm.common import components, saved
 
 SAMPLE = 20_000  # vectors that the fit may see at most
-TREES = 6
 LEAF = 600  # vectors of the whole table that a leaf should hold
-SPILL = 0.08  # share of a node on either side of its cut that goes to both children
-BLOCK = 1500
+SAVED = 0.8  # share of a node's comparisons that its children may need at most
+TRIES = 4  # random directions of each kind
+BLOCK = 4000
 
 
-def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL,
-        seed: int = 11) -> list[list[tuple]]:
-    """Trees as lists of nodes (direction, low, high, left, right) or (leaf number,)."""
+def fit(sample: np.ndarray, total: int, threshold: float, leaf: int = LEAF, seed: int = 11) -> list[tuple]:
+    """Tree as a list of nodes (direction, low, high, left, right) or (leaf number,)."""
     rng = np.random.default_rng(seed)
     share = total / max(1, len(sample))
-    forest, number = [], 0
-    for _ in range(trees):
-        nodes: list[tuple] = [()]
-        todo = [(0, np.arange(len(sample)))]
-        while todo:
-            at, rows = todo.pop()
-            cut = None
-            if len(rows) * share > leaf and len(rows) >= 16:
-                a, b = sample[rng.choice(rows, 2, replace=False)]
-                direction = a - b
-                if not direction.any():
-                    direction = rng.standard_normal(sample.shape[1])
-                seen = sample[rows] @ direction
-                low, middle, high = np.quantile(seen, [0.5 - spill, 0.5, 0.5 + spill])
-                cut = low < high
-            if not cut:
-                nodes[at] = (number,)
-                number += 1
-                continue
-            left, right = len(nodes), len(nodes) + 1
-            nodes += [(), ()]
-            nodes[at] = (direction, float(low), float(high), left, right)
-            todo += [(left, rows[seen <= middle]), (right, rows[seen > middle])]
-        forest.append(nodes)
-    return forest
-
-
-def leaves(forest: list[list[tuple]], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    margin = np.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-6  # and what rounding may take
+    nodes: list[tuple] = [()]
+    number = 0
+    todo = [(0, np.arange(len(sample)))]
+    while todo:
+        at, rows = todo.pop()
+        found = _cut(sample[rows], margin, rng) if len(rows) * share > leaf and len(rows) >= 16 else None
+        if found is None:
+            nodes[at] = (number,)
+            number += 1
+            continue
+        direction, low, high = found
+        seen = sample[rows] @ direction
+        left, right = len(nodes), len(nodes) + 1
+        nodes += [(), ()]
+        nodes[at] = (direction, low, high, left, right)
+        todo += [(left, rows[seen <= high]), (right, rows[seen >= low])]
+    return nodes
+
+
+def _cut(vectors: np.ndarray, margin: float, rng: np.random.Generator) -> tuple[np.ndarray, float, float] | None:
+    """Direction and both ends of the overlap of the cut that saves most, if any saves enough."""
+    n = len(vectors)
+    a, b = vectors[rng.integers(n, size=TRIES)], vectors[rng.integers(n, size=TRIES)]
+    # differences part two groups; a vector or the mean parts its group from the rest
+    tried = np.concatenate([a - b, a, vectors.mean(0, keepdims=True)])
+    size = np.linalg.norm(tried, axis=1, keepdims=True)
+    best, cost = None, SAVED * n * n
+    for direction in (tried / np.where(size > 0, size, 1))[size[:, 0] > 1e-9]:
+        seen = np.sort(vectors @ direction)
+        cuts = np.concatenate([np.linspace(seen[0], seen[-1], 65), np.quantile(seen, np.linspace(0, 1, 33))])
+        left = np.searchsorted(seen, cuts + margin, "right").astype(np.float64)
+        right = n - np.searchsorted(seen, cuts - margin, "left").astype(np.float64)
+        needs = left * left + right * right
+        i = int(np.argmin(needs))
+        if needs[i] <= cost:
+            best, cost = (direction, float(cuts[i] - margin), float(cuts[i] + margin)), needs[i]
+    return best
+
+
+def leaves(nodes: list[tuple], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, leaf) of every leaf that each row reaches, sorted."""
     out_rows, out_leaves = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for nodes in forest:
-        todo = [(0, np.arange(len(vectors)))]
-        while todo:
-            at, rows = todo.pop()
-            if not len(rows):
-                continue
-            if len(nodes[at]) == 1:
-                out_rows.append(rows)
-                out_leaves.append(np.full(len(rows), nodes[at][0]))
-                continue
-            direction, low, high, left, right = nodes[at]
-            seen = vectors[rows] @ direction
-            todo += [(left, rows[seen <= high]), (right, rows[seen >= low])]
+    todo = [(0, np.arange(len(vectors)))]
+    while todo:
+        at, rows = todo.pop()
+        if not len(rows):
+            continue
+        if len(nodes[at]) == 1:
+            out_rows.append(rows)
+            out_leaves.append(np.full(len(rows), nodes[at][0]))
+            continue
+        direction, low, high, left, right = nodes[at]
+        seen = vectors[rows] @ direction
+        todo += [(left, rows[seen <= high]), (right, rows[seen >= low])]
     rows, leaf = np.concatenate(out_rows), np.concatenate(out_leaves)
     order = np.lexsort((leaf, rows))
     return rows[order], leaf[order]
@@ -104,48 +116,51 @@ def _compare(threshold: float):
         member[np.arange(max(size)) < size[:, None]] = held.values.to_numpy()
         count = np.zeros(len(rep), np.int64)
         root = np.arange(len(rep))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = int(root[x])
-            return x
-
         cross = bool(side.any()) and not side.all()
         rows, cols = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if cross else (np.arange(len(rep)),) * 2
         for begin in range(0, len(rows), 256):
-            part = rows[begin:begin + 256]
-            i, j = np.nonzero(vectors[part] @ vectors[cols].T >= threshold)
-            i, j = part[i], cols[j]
+            part, facing = rows[begin:begin + 256], cols if cross else cols[begin:]
+            i, j = np.nonzero(vectors[part] @ vectors[facing].T >= threshold)
+            i, j = part[i], facing[j]
             if not cross:
                 i, j = i[i < j], j[i < j]
+            if not len(i):
+                continue
             # the smallest common leaf owns the pair
             owned = np.ones(len(i), bool)
-            for k in range(member.shape[1]):
+            for k in range(member.shape[1] if member.shape[1] > 1 else 0):
                 leaf_of = member[i, k]
                 earlier = np.flatnonzero(owned & (leaf_of >= 0) & (leaf_of < leaf))
                 if len(earlier):
                     owned[earlier] = ~(member[j[earlier]] == leaf_of[earlier, None]).any(1)
             np.add.at(count, i[owned], many[j[owned]])
             np.add.at(count, j[owned], many[i[owned]])
-            for a, b in zip(i.tolist(), j.tolist()):
-                x, y = top(a), top(b)
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-        up = np.array([top(x) for x in range(len(rep))], np.int64)
+            _join(root, i, j)
+        up = root
         keep = (count > 0) | (up != np.arange(len(rep)))
         return pa.table({"rep": rep[keep], "cls": cls[keep], "links": count[keep], "up": rep[up][keep]})
 
     return run
 
 
+def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the components of ``i`` and ``j``; each entry of ``root`` is the smallest member of its component."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
 def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", threshold: float = 0.9,
-                    trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE,
-                    block: int = BLOCK) -> DataFrame:
+                    leaf: int = LEAF, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """One row per row of ``vectors``: ``id``, ``n_links``, ``component_id`` and ``kept``.
 
-    Two vectors are linked when their cosine is at least ``threshold`` and some
-    leaf holds both. Vectors that are null, empty, zero or hold null or
+    Two vectors are linked when their cosine is at least ``threshold``. Vectors that are null, empty, zero or hold null or
     non-finite components, and rows with a null id, are linked with nothing;
     vectors of different lengths are never compared. ``component_id`` is the
     smallest id reachable (null for a null id); rows that share an id count as
@@ -163,8 +178,8 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     for (dim, total) in [tuple(r) for r in classes.groupBy(F.size("vector")).count().orderBy("count").collect()]:
         part = classes.where(F.size("vector") == dim)
         drawn = part.orderBy(F.xxhash64("cls"), "cls2").limit(sample).select("vector").toArrow()
-        forest = fit(_matrix(drawn.column(0).combine_chunks()), total, trees, leaf, spill)
-        parts.append(_drop(part, forest, dim))
+        tree = fit(_matrix(drawn.column(0).combine_chunks()), total, threshold, leaf)
+        parts.append(_drop(part, tree, dim))
     spark = vectors.sparkSession
     if parts:
         dropped = parts[0]
@@ -196,16 +211,16 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
                     F.coalesce(F.coalesce("c", "id") == F.col("id"), F.lit(False)).alias("kept")))
 
 
-def _drop(classes: DataFrame, forest: list[list[tuple]], dim: int) -> DataFrame:
+def _drop(classes: DataFrame, tree: list[tuple], dim: int) -> DataFrame:
     """A row for each vector and leaf that it reaches, with all leaves of the vector."""
-    sent = classes.sparkSession.sparkContext.broadcast(pickle.dumps(forest))  # bounded by the sample
+    sent = classes.sparkSession.sparkContext.broadcast(pickle.dumps(tree))  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = pickle.loads(sent.value)
+        nodes = pickle.loads(sent.value)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, leaf = leaves(trees, _matrix(batch.column(3)))
+            rows, leaf = leaves(nodes, _matrix(batch.column(3)))
             begin = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
             held = pa.ListArray.from_arrays(pa.array(begin), pa.array(leaf))
             at = pa.array(rows)

@@ -89,6 +89,34 @@ def test_forest_recall_and_no_link_counted_twice(spark):
     assert sum(r["n_links"] for r in got.values()) >= 0.9 * 2 * pairs > 1000
 
 
+def test_every_link_of_a_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    n, dim = 2400, 64
+    centre = rng.standard_normal(dim)
+    centre /= np.linalg.norm(centre)
+    data = rng.standard_normal((n, dim))
+    data[::3] = centre + rng.normal(0, 0.0343, (n // 3, dim))  # mean cosine of a pair about 0.93
+    data[1::30] = data[2::30] + rng.normal(0, 0.3, (n // 30, dim))  # isolated pairs
+    got = forest.near_duplicates(vectors(spark, list(enumerate(data.tolist()))), threshold=0.9, leaf=60, block=150).collect()
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    want = linked.sum(1) - 1
+    assert want.sum() > 400_000
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(want.tolist()))
+    least = np.arange(n)
+    for _ in range(20):
+        least = np.where(linked, least[None, :], n).min(1)
+    assert {r["vec_id"]: r["component_id"] for r in got} == dict(enumerate(least.tolist()))
+
+
+def test_tree_parts_large_groups():
+    rng = np.random.default_rng(6)
+    data = np.repeat(rng.standard_normal((4, 32)), 1000, 0) + rng.normal(0, 0.03, (4000, 32))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    rows, leaf = forest.leaves(forest.fit(data[::2], len(data), 0.9), data)
+    assert (np.bincount(leaf).astype(float) ** 2).sum() < 0.5 * len(data) ** 2
+
+
 def test_forest_of_an_empty_table(spark):
     assert forest.near_duplicates(vectors(spark, clustered(4, 10)).where("false")).count() == 0
     assert {r["n_links"] for r in forest.near_duplicates(vectors(spark, ODD[:4])).collect()} == {0}
