@@ -235,6 +235,12 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     classes = (sets.where("n > 0 and doc is not null").groupBy("n", "s1", "s2")
                .agg(F.min("doc").alias("rep"), F.min_by("shingles", "doc").alias("shingles")))
     classes = saved(classes, "shingle-classes")
+    # ids of several rows, and the classes that an id of several texts joins
+    repeated = saved(sets.where("n > 0 and doc is not null").groupBy("doc")
+                     .agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("n", "s1", "s2")).alias("a"),
+                          F.max(F.struct("n", "s1", "s2")).alias("b"))
+                     .where("k > 1").select("doc", _int("a < b").alias("several")), "repeated-ids")
+    repeats = not repeated.isEmpty()
     # 2. which shingles of the extended prefixes do other representatives have
     listed = classes.select("rep", "n", F.explode("shingles").alias("shingle"))
     common = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
@@ -244,16 +250,18 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
                                                   F.count_if(F.col("f") > frequent).alias("hot"))
                     .where(f"c >= 1 + {s}").select("rep", "n", _int(f"hot > {s}").alias("hot")), "hopeful")
     wanted = hopeful.select(F.col("rep").alias("doc")).distinct()
-    whole = saved(_sets(docs.join(wanted, "doc", "left_semi"), words, num, den, whole=True)
-                  .where("n > 0").select("doc", "n", "shingles"), "shingle-sets")
+    whole = _sets(docs.join(wanted, "doc", "left_semi"), words, num, den, whole=True).where("n > 0")
+    if repeats:  # each set of an id once
+        whole = whole.groupBy("doc", "n", "s1", "s2").agg(F.first("shingles").alias("shingles"))
+    whole = saved(whole, "shingle-sets")
     # 3. lists
     plain = (shared.where(F.col("f") <= frequent).join(hopeful.select("rep", "n"), ["rep", "n"], "left_semi")
              .select(F.lit(0).alias("kind"), "shingle", F.col("rep").alias("doc")))
     hot = hopeful.where("hot").select(F.col("rep").alias("doc")).distinct()
     often = shared.where(F.col("f") > frequent).groupBy("shingle").agg(F.first("f").alias("f"))
-    ranked = (whole.join(hot, "doc", "left_semi").select("doc", "n", F.explode("shingles").alias("shingle"))
+    ranked = (whole.join(hot, "doc", "left_semi").select("doc", "n", "s1", "s2", F.explode("shingles").alias("shingle"))
               .join(often, "shingle", "left")
-              .groupBy("doc", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"),
+              .groupBy("doc", "n", "s1", "s2").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"),
                                                                            "shingle"))).alias("all"))
               .select("doc", F.explode(_int(f"slice(all, 1, cast({p} as int))")).alias("t"))
               .select(F.lit(1).alias("kind"), "t.shingle", "doc"))
@@ -268,6 +276,11 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
             .join(sizes.select(F.col("doc").alias("y"), F.col("n").alias("ny")), "y")
             .where(f"{den} * least(nx, ny) >= {num} * greatest(nx, ny)").select("x", "y").distinct())
     links = saved(_verify(star, whole, num, den), "links")
+    if repeats:
+        own = (sets.join(repeated.where("several").select("doc"), "doc", "left_semi").where("n > 0")
+               .join(classes.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"])
+               .select(F.col("doc").alias("x"), F.col("rep").alias("y")))
+        links = saved(links.unionByName(own.where("x <> y")), "links")
     found = components(links, "x", "y")
     # 5. what a list leaves open
     labelled = (lists.join(leads.where("m > 2").select("kind", "shingle", "m"), ["kind", "shingle"])

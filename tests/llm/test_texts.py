@@ -118,6 +118,27 @@ def test_jaccard_repeated_and_null_ids(spark):
     assert [r["component_id"] for r in got if r["doc"] is None] == [None]
 
 
+def test_jaccard_of_repeated_rows_with_frequent_shingles(spark):
+    rng = random.Random(11)
+    rows = []
+    for pair in range(12):
+        body = [f"w{rng.randrange(10 ** 6)}" for _ in range(104)]
+        near = list(body)
+        near[20], near[60] = "x", "y"  # ten shingles each: similarity 90 / 110
+        rows += [(2 * pair, " ".join(body))] * 8 + [(2 * pair + 1, " ".join(near))] * 8
+    got = jaccard.cluster(frame(spark, rows), words=5, num=80, den=100, frequent=1).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc"], r["component_id"]) for r in got} == {(i, i // 2 * 2) for i in range(24)}
+
+
+def test_jaccard_of_different_texts_of_one_id(spark):
+    rng = random.Random(12)
+    one, two, three = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(104)) for _ in range(3))
+    rows = [(1, one), (2, two), (5, one), (5, two), (7, two + " end"), (7, three), (8, three + " end"), (9, "something else")]
+    got = jaccard.cluster(frame(spark, rows * 3), words=5, num=80, den=100, frequent=1).collect()
+    assert sorted((r["doc"], r["component_id"]) for r in got) == sorted([(i, 9 if i == 9 else 1) for i, _ in rows] * 3)
+
+
 @pytest.mark.parametrize("known", [1.0, 0.6])
 def test_trie_finds_what_it_should(known):
     rng = random.Random(6)
