@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import bpe, decontaminate, forest, jaccard, line_dedup, quality, repeats, secrets, token_files, warc
+from tapeweave.llm import bpe, decontaminate, exact_dedup, forest, jaccard, line_dedup, quality, repeats, secrets, token_files, warc
 from tapeweave.llm.common import table
 from tapeweave.session import workspace
 
@@ -92,6 +92,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("target").alias("refers_to"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -103,4 +108,5 @@ QUERIES = {
     "op8_bpe_lexicon": op8_bpe_lexicon,
     "op9_repeats": op9_repeats,
     "op10_warc": op10_warc,
+    "op12_exact_dedup": op12_exact_dedup,
 }

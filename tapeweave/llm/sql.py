@@ -45,4 +45,7 @@ SQL = {
       m AS (SELECT *, max(page_id) OVER (PARTITION BY sha, payload_bytes) AS top FROM e)
       SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
              CASE WHEN page_id <> top THEN top END AS refers_to FROM m""",
+    "op12_exact_dedup": """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+      SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+             doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
 }
