@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm import bpe, decontaminate, exact_dedup, forest, jaccard, line_dedup, quality, repeats, secrets, token_files, warc
+from tapeweave.llm import bpe, decontaminate, exact_dedup, forest, hard_negatives, jaccard, lexical, line_dedup, quality, repeats, secrets, token_files, warc
 from tapeweave.llm.common import table
 from tapeweave.session import workspace
 
@@ -92,11 +92,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("target").alias("refers_to"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = hard_negatives.quantised(vectors.withColumn("label", moved))
+    return hard_negatives.mine(points, F.col("id") % 50 == 0)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("doc").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", "text_sha256")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -108,5 +120,7 @@ QUERIES = {
     "op8_bpe_lexicon": op8_bpe_lexicon,
     "op9_repeats": op9_repeats,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }

@@ -3,6 +3,8 @@
 _TRIM = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 SQL = {
     "op1_line_dedup": f"""WITH l AS (
         SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -45,7 +47,31 @@ SQL = {
       m AS (SELECT *, max(page_id) OVER (PARTITION BY sha, payload_bytes) AS top FROM e)
       SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
              CASE WHEN page_id <> top THEN top END AS refers_to FROM m""",
+    "op11_hard_negatives": """WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding::DOUBLE[] AS e
+        FROM embeddings),
+      p AS (SELECT vec_id, label, list_transform(e, lambda x: floor(256 * x)) AS q FROM v WHERE label IS NOT NULL
+            AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM p a JOIN p b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+      pos AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+      SELECT pos.a AS anchor_id, pos.b AS positive_id,
+             CAST(row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY s.score DESC, s.b) AS INTEGER) AS rank,
+             s.b AS negative_id, pos.score AS positive_score, s.score AS negative_score
+      FROM pos JOIN s ON s.a = pos.a AND NOT s.same AND 50 * pos.score <= 100 * s.score AND 100 * s.score <= 95 * pos.score
+      QUALIFY rank <= 3""",
     "op12_exact_dedup": """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
       SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
              doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op13_lexical_search": f"""WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+      s AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+      i AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS t FROM benchmark),
+      o AS (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d),
+      p AS (SELECT doc_id, t, any_value(n) AS n, count(*) AS tf FROM o WHERE t IN (SELECT t FROM i) GROUP BY doc_id, t),
+      f AS (SELECT t, CAST(floor(1000 * ln((2 * s.n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY t, s.n),
+      q AS (SELECT p.doc_id, p.t, f.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * p.n * s.n) // s.l))) AS v
+            FROM p JOIN f USING (t), s),
+      r AS (SELECT i.item_id, q.doc_id, CAST(sum(q.v) AS BIGINT) AS score FROM i JOIN q USING (t) GROUP BY i.item_id, q.doc_id)
+      SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM r WHERE score > 0 QUALIFY rank <= 10""",
 }
