@@ -183,21 +183,24 @@ def _descend(tree: CoverTree, queries: dict[str, np.ndarray], k: int, same: bool
             fit = (tree.labels[None, a:b] == labels[who, None]) & (tree.ids[None, a:b] != ids[who, None])
         else:
             fit = tree.labels[None, a:b] != labels[who, None]
-        for w in range(windows):
-            fine = fit & (scores >= np.maximum(low[who, w], best[who, w])[:, None]) & (scores <= high[who, w, None])
-            some = np.flatnonzero(fine.any(1))
-            if not len(some):
-                continue
-            kept = np.where(fine[some], scores[some], OPEN_LOW)
-            first = np.argsort(-kept, axis=1, kind="stable")[:, :k]  # equal scores in the order of ids
-            value = np.take_along_axis(kept, first, 1)
-            mine = who[some]
-            tops[mine, w] = np.sort(np.c_[tops[mine, w], value], axis=1)[:, -k:]
-            best[mine, w] = np.maximum(best[mine, w], tops[mine, w, 0])
-            for j in range(value.shape[1]):
-                hit = np.flatnonzero(value[:, j] > OPEN_LOW)
-                at = a + first[hit, j]
-                yield queries["row"][mine[hit]], np.full(len(hit), w), value[hit, j], tree.ids[at], tree.rows[at]
+        # in order of score, then id: what a window holds lies together, after what is above it
+        kept = np.where(fit, scores, OPEN_LOW)
+        order = np.argsort(-kept, axis=1, kind="stable")
+        kept = np.take_along_axis(kept, order, 1)
+        above = (kept[:, None, :] > high[who][:, :, None]).sum(2)
+        place = above[:, :, None] + np.arange(k)
+        inside = place < b - a
+        place = np.minimum(place, b - a - 1)
+        q_of = np.arange(len(who))[:, None, None]
+        value = kept[q_of, place]
+        fine = inside & (value >= np.maximum(low[who], best[who])[:, :, None])
+        if not fine.any():
+            continue
+        tops[who] = np.sort(np.concatenate([tops[who], np.where(fine, value, OPEN_LOW)], axis=2), axis=2)[:, :, -k:]
+        best[who] = np.maximum(best[who], tops[who][:, :, 0])
+        i, w, j = np.nonzero(fine)
+        at = a + order[i, place[i, w, j]]
+        yield queries["row"][who[i]], w, value[i, w, j], tree.ids[at], tree.rows[at]
 
 
 class Index:
