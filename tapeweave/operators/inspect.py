@@ -109,7 +109,11 @@ def range_diagnostics(bars: DataFrame, start: datetime | str, end: datetime | st
 
 def run_summary(staged: DataFrame, final: DataFrame) -> DataFrame:
     """Per symbol and stream: rows staged, rows in the series, contracts, time range."""
-    before = staged.groupBy("symbol", "price_type").agg(F.count(F.lit(1)).alias("staged_rows"))
+    return with_final(staged.groupBy("symbol", "price_type").agg(F.count(F.lit(1)).alias("staged_rows")), final)
+
+
+def with_final(before: DataFrame, final: DataFrame) -> DataFrame:
+    """``run_summary`` of staged rows that are counted already."""
     after = (final.groupBy("symbol", "price_type")
              .agg(F.count(F.lit(1)).alias("final_rows"), F.count_distinct("contract").alias("contracts"),
                   F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeweave.functions.time import UNIT_MICROS, bucket_start, epoch_ms
 from tapeweave.schema import OHLC, SERIES, check_period
-from tapeweave.session import join_dim, written
+from tapeweave.session import join_dim, workspace, written
 
 # One 38-digit number orders rows by (instant, seq). A fixed-width buffer lets
 # the aggregate run as a hash aggregate; a struct would force sorts.
@@ -59,30 +59,37 @@ def tick_bars(bars: DataFrame, value: int, series: list[str] = SERIES) -> DataFr
     columns must be filled, as ``validate_bars`` ensures.
     """
     check_period("Tick", value)
+    numbered, _ = placed(bars, series)
+    bar = F.col("_place") - F.pmod("_place", F.lit(value).cast("bigint"))
+    out = (numbered.withColumn("_bar", bar).groupBy(*series, "_bar")
+           .agg(F.min("timestamp").alias("_start"), *ohlcv(F.col("_place"))))
+    return _shape(out, F.col("_start"), series)
+
+
+def placed(bars: DataFrame, series: list[str] = SERIES, keep: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """Rows with ``_place``, their number in the series by (timestamp, seq) from 0, and the folder of the written ranges."""
     seq = ["seq"] if "seq" in bars.columns else []
-    rows = bars.select(*series, "timestamp", *seq, *OHLC, "volume")
+    rows = bars.select(*series, "timestamp", *seq, *OHLC, "volume", *keep)
     # The hash leads so that sorts compare one integer before any text.
     order = ["_hash", *series, "timestamp", *seq]
     row_bits = 33
-    numbered = written(rows.withColumn("_hash", F.xxhash64(*series))
-                       .repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash")
-                       .withColumn("_id", F.monotonically_increasing_id()), "tick-ranges")
-    numbered = numbered.withColumn("_range", F.shiftright("_id", row_bits))
+    path = workspace(bars.sparkSession, "tick-ranges")
+    ranged = (rows.withColumn("_hash", F.xxhash64(*series))
+              .repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash")
+              .withColumn("_id", F.monotonically_increasing_id()))
+    ranged.write.parquet(path)
+    numbered = bars.sparkSession.read.schema(ranged.schema).parquet(path).withColumn("_range", F.shiftright("_id", row_bits))
 
     before = Window.partitionBy(*series).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per series and range: at most (series + ranges) rows in all, and
-    # at most one row per range for any one series.
-    offsets = (numbered.groupBy(*series, "_range")
-               .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-               .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-               .select(*series, "_range", (F.col("_before") - F.col("_first")).alias("_shift")))
-    place = F.col("_id") + F.col("_shift")
-    placed = (join_dim(numbered, offsets, [*series, "_range"])
-              .withColumn("_bar", place - F.pmod(place, F.lit(value).cast("bigint")))
-              .withColumn("_place", place))
-    out = (placed.groupBy(*series, "_bar")
-           .agg(F.min("timestamp").alias("_start"), *ohlcv(F.col("_place"))))
-    return _shape(out, F.col("_start"), series)
+    # at most one row per range for any one series. Written, so that measuring
+    # it and joining it don't read the ticks again.
+    offsets = written(numbered.groupBy(*series, "_range")
+                      .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+                      .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+                      .select(*series, "_range", (F.col("_before") - F.col("_first")).alias("_shift")), "tick-offsets")
+    return (join_dim(numbered, offsets, [*series, "_range"])
+            .withColumn("_place", F.col("_id") + F.col("_shift")).drop("_id", "_range", "_shift")), path
 
 
 def _shape(out: DataFrame, start: Column, series: list[str]) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeweave.functions.time import naive_utc
-from tapeweave.operators.bars import in_range, normalize, validate_bars
+from tapeweave.operators.bars import in_range, normalize
 from tapeweave.operators.catalog import bars_of_contracts, for_root, prune_contracts
-from tapeweave.operators.inspect import contract_steps, run_summary
+from tapeweave.operators.inspect import contract_steps, with_final
 from tapeweave.operators.ranges import filter_range, resolve_range
 from tapeweave.schema import TIMEFRAMES, check_timeframe
 from tapeweave.session import written
@@ -75,12 +75,11 @@ def export_series(store: BarStore, catalog: DataFrame, raw: DataFrame, symbol: s
         fresh = F.col("covered_end").isNull() | (F.col("time").cast("date") > F.col("covered_end"))
         return normalize(scanned.filter(fresh), tz, keep=("expiry",))
 
-    good, rejected = validate_bars(bars_of(todo))
-    batch_id = None
+    numbers: list[int] = []
     for n, group in enumerate(_groups(todo, group_size)):
         # a replaced symbol starts anew once, with its first group
-        batch_id = store.merge(bars_of(group), timeframe, contracts=group, frm=request.from_date, to=request.covered_to,
-                               replace=replace and n == 0, completed_at=naive_utc(now))
+        numbers.append(store.merge(bars_of(group), timeframe, contracts=group, frm=request.from_date, to=request.covered_to,
+                                   replace=replace and n == 0, completed_at=naive_utc(now)))
     series = store.read(timeframe, symbol)
     outputs = {}
     exported = filter_range(series, *request.instants(tz)) if range_only else series
@@ -92,7 +91,9 @@ def export_series(store: BarStore, catalog: DataFrame, raw: DataFrame, symbol: s
             sink = export_csv if fmt == "csv" else export_parquet
             outputs[fmt] = f"{out.rstrip('/')}/{fmt}/timeframe={timeframe}/run={naive_utc(now):%Y%m%d_%H%M%S}"
             sink(exported, outputs[fmt])
-    return ExportResult(batch_id, todo, steps, rejected, run_summary(good, series), series, outputs)
+    # counted and refused is what was merged, not what the source would say now
+    return ExportResult(numbers[-1] if numbers else None, todo, steps, store.refused(timeframe, numbers),
+                        with_final(store.staged(numbers), series), series, outputs)
 
 
 def _groups(todo: DataFrame, size: int | None) -> list[DataFrame]:

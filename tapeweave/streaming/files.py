@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tapeweave.operators.stitch import top_one
 from tapeweave.session import remove_path
+from tapeweave.sources.commits import publish
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
@@ -33,22 +34,19 @@ def upsert_writer(df: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
     Folders are named by run and micro-batch. A checkpoint has one run number,
     taken from the folder when it writes first, so a stream that starts anew
     over old results counts as the newer one although its micro-batches begin
-    at 0 again. A repeated micro-batch rewrites its own folder, so
+    at 0 again. A checkpoint is known by an id inside its folder, not by its path. A repeated micro-batch rewrites its own folder, so
     at-least-once delivery is enough; ``read_upserts`` returns the current row
     per key. One stream at a time writes a folder.
     """
     spark = df.sparkSession
-    mine = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     state: dict[str, int] = {}
 
     def run_number(epoch: int) -> int:
         if "run" not in state:
-            known = _runs(spark, out)
+            known, mine = _runs(spark, out), checkpoint_id(spark, checkpoint)
             own = [r["run"] for r in known if r["checkpoint"] == mine]
-            # at its first micro-batch a checkpoint of the same name is a new one, unless that batch is being repeated
-            again = own and (epoch > 0 or not _wrote(spark, out, max(own), 1))
-            state["run"] = max(own) if again else 1 + max([r["run"] for r in known], default=0)
-            if not again:
+            state["run"] = max(own) if own else 1 + max([r["run"] for r in known], default=0)
+            if not own:
                 (spark.createDataFrame([(state["run"], mine)], "run long, checkpoint string")
                  .coalesce(1).write.mode("append").parquet(f"{out}/_runs"))
         return state["run"]
@@ -59,24 +57,37 @@ def upsert_writer(df: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
     return (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _wrote(spark: SparkSession, out: str, run: int, epoch: int) -> bool:
-    return _exists(spark, f"{out}/_run={run}/_epoch={epoch}")
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id in the checkpoint's folder; a folder without one gets one, and only one, whoever asks first."""
+    path = f"{checkpoint.rstrip('/')}/tapeweave-id"
+    publish(spark, path, uuid.uuid4().hex)
+    return read_text(spark, path)
 
 
 def _runs(spark: SparkSession, out: str) -> list:
     """Runs so far, one small row each."""
     path = f"{out}/_runs"
-    return spark.read.schema("run long, checkpoint string").parquet(path).collect() if _exists(spark, path) else []
+    return spark.read.schema("run long, checkpoint string").parquet(path).collect() if exists(spark, path) else []
 
 
 def _upserts(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     numbered = T.StructType(schema.fields + [T.StructField(c, T.LongType()) for c in _UPSERT])
-    paths = [f"{out}/_run={r}" for r in sorted({x["run"] for x in _runs(spark, out)}) if _exists(spark, f"{out}/_run={r}")]
+    paths = [f"{out}/_run={r}" for r in sorted({x["run"] for x in _runs(spark, out)}) if exists(spark, f"{out}/_run={r}")]
     if not paths:
         return spark.createDataFrame([], numbered)
     return spark.read.schema(numbered).option("basePath", out).parquet(*paths)

@@ -103,9 +103,9 @@ def test_compact_keeps_rows_and_marks(spark, store):
 def test_store_from_before_the_contract_column(spark, store):
     store.merge(frame(spark, [bar(T0, 5)]), "minutes")
     old = frame(spark, [bar(T1, 5)]).select(*[c for c in BAR_COLUMNS if c != "contract"])
-    batch = store.ledger().first()["batch"]
-    old.drop("symbol").write.parquet(f"{store.path}/bars/timeframe=minutes/batch={batch}/symbol=NQ")
-    store._append(store.ledger().withColumn("symbol", F.lit("NQ")))
+    old.drop("symbol").write.parquet(f"{store.path}/bars/timeframe=minutes/batch=before/symbol=NQ")
+    assert store.adopt("minutes", "before") == 2
+    assert rows_of(store.ledger(), "symbol", "contract", "bars_count") == [("ES", "ES H4", 1), ("NQ", "", 1)]
     assert rows_of(store.read("minutes"), "symbol", "contract") == [("ES", "ES H4"), ("NQ", "")]
 
 
@@ -116,12 +116,16 @@ def test_odd_symbols_survive_folders(spark, store):
     assert store.read("minutes", "001").count() == 1
 
 
-def test_files_prune_by_batch_symbol_and_key(spark, store):
+def test_files_prune_by_symbol_range_and_key(spark, store):
     for i in range(2):
         store.merge(frame(spark, some_rows(i)), "minutes")
+    files = store.read("minutes", "ES").inputFiles()
+    assert files and all("symbol=ES" in f for f in files)
     plan = store.read("minutes", "ES").filter("unix_ms > 5")._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "symbol" in plan.split("PartitionFilters")[1][:200]
     assert "GreaterThan(unix_ms,5)" in plan
+    assert store.read("minutes", start="2024-01-06").inputFiles() == []
+    some = store.read("minutes", start="2024-01-05 10:05:00", end="2024-01-05 10:07:00")
+    assert rows_of(some, *BAR_COLUMNS) == rows_of(store.read("minutes").filter("minute(timestamp) BETWEEN 5 AND 7"), *BAR_COLUMNS)
 
 
 def ledger_of(spark, *rows):
