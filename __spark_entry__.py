@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import date, datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,18 +23,22 @@ from tapeweave.operators import bars as ob
 from tapeweave.operators import catalog as oc
 from tapeweave.operators import coverage as ov
 from tapeweave.operators import inspect as oi
+from tapeweave.operators import sessions as os_
 from tapeweave.operators.resample import resample
-from tapeweave.operators.ranges import with_chunks
+from tapeweave.operators.ranges import page_windows, with_chunks
 from tapeweave.operators.stitch import dedup, latest_wins, stitch
 from tapeweave.plans.backfill import backfill
-from tapeweave.plans.export import export_series
+from tapeweave.plans.export import export_series, export_timeframes
 from tapeweave.plans.interchange import export_contract
+from tapeweave.plans.refresh import Derived
 from tapeweave.schema import BARS_RAW, KEY, OHLC, SERIES
 from tapeweave.session import pin_utc, workspace
 from tapeweave.sources import ledger as led
 from tapeweave.sources import sinks
+from tapeweave.sources.bar_source import read_bar_folders, write_bar_folders
 from tapeweave.sources.scan import scan_bars
 from tapeweave.sources.store import BarStore
+from tapeweave.streaming import audited
 from tapeweave.streaming.files import drain, fold_upserts, read_stream, read_upserts, upsert_writer
 from tapeweave.streaming.merge import merge_stream
 from tapeweave.streaming.series import bar_stream, stitch_stream
@@ -44,6 +49,9 @@ FROM, TO = date(2024, 1, 5), date(2024, 1, 25)
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 25, 23, 59, 59, 999999)
 WALK_START, WALK_END = datetime(2023, 12, 30), datetime(2024, 2, 10, 12)
 NOW = datetime(2024, 2, 1)
+LISTED = date(1995, 2, 10), date(1996, 3, 5)  # a request for the contracts listed from the line items
+CLEARED = datetime(1995, 1, 1), datetime(1996, 12, 31, 23, 59, 59, 999000)
+LATENESS = timedelta(days=20)
 BAR = [*SERIES, "timestamp", "unix_ms", *OHLC, "volume"]
 
 
@@ -131,15 +139,23 @@ def latest_wins_rows(spark, d):
 
 
 def list_instruments(spark, d):
-    return oc.list_instruments(fx.instruments(spark, d))
+    return oc.list_instruments(fx.listed(spark, d))
+
+
+def list_root(spark, d):
+    return oc.list_instruments(fx.listed(spark, d), "S7")
 
 
 def prune_contracts(spark, d):
     return oc.prune_contracts(fx.instruments(spark, d).filter(oc.for_root(None)), FROM, TO)
 
 
+def prune_listed(spark, d):
+    return oc.prune_contracts(fx.listed(spark, d).filter(oc.for_root(None)), *LISTED)
+
+
 def prune_report(spark, d):
-    return oc.prune_report(fx.instruments(spark, d).filter(oc.for_root(None)), FROM, TO)
+    return oc.prune_report(fx.listed(spark, d).filter(oc.for_root(None)), *LISTED)
 
 
 def bars_of_contracts(spark, d):
@@ -207,7 +223,7 @@ def _tick_series(spark, d):
 
 def chunk_ranges_of(spark, d):
     """Week chunks of each symbol, the last one clipped."""
-    symbols = fx.instruments(spark, d).select("symbol").distinct()
+    symbols = fx.listed(spark, d).select("symbol").distinct()
     return with_chunks(symbols, WALK_START, WALK_END, 7)
 
 
@@ -269,10 +285,12 @@ def interchange_csv_roundtrip(spark, d):
 def export_manifest_counts(spark, d):
     out = workspace(spark, "manifest")
     series = _series(spark, d)
-    sinks.export_parquet(series, out)
-    counted = sinks.export_manifest(spark, out, series, "parquet")
+    counted = sinks.export_manifest(spark, out, sinks.export_parquet(series, out), "parquet")
+    same = sinks.verify_manifest(spark, out, counted, "parquet")
+    stored = sinks.read_parquet_export(spark, out).count()
     return counted.select("bar_count", *[F.col("bar_count_by_stream")[s].alias(f"{s}_count")
-                                         for s in ("last", "bid", "ask")], "status")
+                                         for s in ("last", "bid", "ask")], "status",
+                          (F.lit(same) & (F.col("file_rows") == stored)).alias("files_as_written"))
 
 
 def interchange_request(spark, d):
@@ -313,7 +331,7 @@ def stream_merge(spark, d):
     store = BarStore(spark, workspace(spark, "store"))
     checkpoint = workspace(spark, "checkpoint")
     for part in range(3):
-        rows.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(path)
+        rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(path)
         drain(merge_stream(read_stream(spark, path, rows.drop("part").schema), store, "days", checkpoint, "days"))
     return store.read("days")
 
@@ -381,6 +399,177 @@ def stream_bars(spark, d):
     return read_upserts(spark, out, live.schema, [*SERIES, "unix_ms"])
 
 
+def merge_disjoint(spark, d):
+    """Two merges whose key ranges don't meet: read without ranking."""
+    store = BarStore(spark, workspace(spark, "store"))
+    rows = fx.day_bars(spark, d)
+    store.merge(rows.filter(F.col("timestamp") < F.lit(CLEARED[0])), "days")
+    store.merge(rows.filter(F.col("timestamp") >= F.lit(CLEARED[0])), "days")
+    return store.read("days")
+
+
+def merge_tiered(spark, d):
+    """Six merges; runs of about one size are made one as they come."""
+    store = BarStore(spark, workspace(spark, "store"), fan=2)
+    rows = fx.day_bars(spark, d, keep=("expiry", "order_no"))
+    for part in range(6):
+        store.merge(rows.filter(F.col("order_no") % 6 == part).drop("order_no"), "days")
+    return store.read("days")
+
+
+def merge_concurrent(spark, d):
+    """A writer per stream, all at once."""
+    path = workspace(spark, "store")
+    rows = fx.day_bars(spark, d)
+    with ThreadPoolExecutor(3) as pool:
+        numbers = list(pool.map(lambda s: BarStore(spark, path).merge(rows.filter(F.col("price_type") == s), "days"),
+                                ("last", "bid", "ask")))
+    assert sorted(numbers) == [1, 2, 3]
+    return BarStore(spark, path).read("days")
+
+
+def replace_range(spark, d):
+    """All parts in two merges, then two years again from the second part alone."""
+    store = BarStore(spark, workspace(spark, "store"))
+    rows = fx.day_bars(spark, d, keep=("expiry", "part"))
+    store.merge(rows.filter("part < 2"), "days")
+    store.merge(rows.filter("part = 2"), "days")
+    inside = F.col("timestamp").between(F.lit(CLEARED[0]), F.lit(CLEARED[1]))
+    store.replace_range(rows.filter(F.col("part") == 2).filter(inside), "days", *CLEARED)
+    return store.read("days")
+
+
+def store_migrated(spark, d):
+    """Files of an older store, without the contract column, taken over and merged into."""
+    store = BarStore(spark, workspace(spark, "store"))
+    (_series(spark, d).select("symbol", "price_type", "unix_ms", "timestamp", *OHLC, "volume")
+     .write.partitionBy("symbol").parquet(f"{store.path}/bars/timeframe=days/batch=older"))
+    store.adopt("days", "older")
+    return store.read("days")
+
+
+def refresh_weeks(spark, d):
+    """Seven-day bars after three merges, each of which remakes the weeks it touched."""
+    store = BarStore(spark, workspace(spark, "store"))
+    weeks = Derived(store, "days", workspace(spark, "weeks"), "Day", 7)
+    rows = fx.day_bars(spark, d, keep=("expiry", "part"))
+    for part in range(3):
+        store.merge(rows.filter(F.col("part") == part), "days")
+        weeks.refresh()
+    return weeks.read()
+
+
+def session_days(spark, d):
+    """One bar per trading session; the sessions open on three exchanges' clocks, through daylight saving."""
+    hours, days, of_symbol = fx.calendars(spark)
+    listed = os_.sessions(hours, days, date(1991, 12, 1), date(2002, 1, 31))
+    return os_.session_bars(fx.spread_ticks(spark, d), listed, of_symbol)
+
+
+def fetch_pages(spark, d):
+    """The days of ``fetch_bars`` page by page, under a limit of a week."""
+    hours = _hours(spark, d)
+    pages = page_windows(START, END, 7)
+    last = len(pages) - 1
+    found = [oi.fetch_bars(hours, "CLICK C1", "Minute", 1, a, b if i == last else b - timedelta(microseconds=1), "Last", 7)
+             for i, (a, b) in enumerate(pages)]
+    return ob.union_sources(*found)
+
+
+def stitch_all_ticks(spark, d):
+    return stitch(fx.ticks(spark, d), fx.instruments(spark, d), keep_all_ticks=True).select(*BAR, "seq")
+
+
+def export_single(spark, d):
+    """One ordered gzip file per symbol and stream, read back."""
+    out = workspace(spark, "single")
+    files = sinks.export_single_csv(_series(spark, d), out)
+    rows = spark.read.option("header", True).schema(
+        "unix_ms long, open double, high double, low double, close double, volume long, contract string").csv(
+            [r["path"] for r in files.select("path").collect()])
+    return rows.withColumn("name", F.regexp_extract(F.col("_metadata.file_path"), "root=([^/]*/[^/.]*)", 1))
+
+
+def export_present_streams(spark, d):
+    """Streams without rows get no folder: what is there after an export of some streams."""
+    out = workspace(spark, "csv")
+    sinks.export_csv(_series(spark, d).filter("NOT (symbol = 'A' AND price_type = 'ask')"), out)
+    return sinks.export_files(spark, out, "csv").select(
+        F.regexp_extract("path", "root=([^/]*)/", 1).alias("symbol"), F.regexp_extract("path", "stream=([^/]*)/", 1).alias("price_type")).distinct()
+
+
+def export_all_timeframes(spark, d):
+    """Ticks and days of one request, each into its own timeframe."""
+    store = BarStore(spark, workspace(spark, "store"))
+    raw = fx.raw_ticks(spark, d)
+    done, failed = export_timeframes(store, fx.instruments(spark, d), {"ticks": raw, "days": raw.drop("seq")}, None, NOW, frm=FROM, to=TO)
+    assert not failed
+    return ob.union_sources(*[run.series.withColumn("timeframe", F.lit(name)) for name, run in done.items()])
+
+
+def scan_folders(spark, d):
+    """Source bars in folders by contract and day, read through the data source with pushed filters."""
+    out = workspace(spark, "folders")
+    write_bar_folders(fx.raw_ticks(spark, d), out)
+    rows = read_bar_folders(spark, out, 7)
+    picked = rows.filter((F.col("contract") == "CLICK C1") & (F.col("time") >= F.lit(START).cast("timestamp_ntz"))
+                         & (F.col("time") <= F.lit(END).cast("timestamp_ntz")))
+    return ob.normalize(picked)
+
+
+def _tick_parts(spark, d, sink, checkpoint):
+    """Three micro-batches: ticks by thirds of their number, or by time."""
+    ticks, path = fx.ticks(spark, d), workspace(spark, "stream-in")
+    for mine in sink[1]:
+        ticks.filter(mine).write.mode("append").parquet(path)
+        drain(sink[0](read_stream(spark, path, ticks.schema), checkpoint))
+    return ticks.schema
+
+
+def _audited_hours(spark, d):
+    out, checkpoint = workspace(spark, "stream-out"), workspace(spark, "checkpoint")
+    thirds = [F.col("seq") % 3 == k for k in range(3)]
+    schema = _tick_parts(spark, d, (lambda live, cp: audited.bar_sink(live, out, cp, "Minute", 60, LATENESS), thirds), checkpoint)
+    return out, schema
+
+
+def stream_audited(spark, d):
+    """Hour bars of the ticks that came in time; each micro-batch but the first has late ones."""
+    out, schema = _audited_hours(spark, d)
+    audited.fold_bars(spark, out, schema)
+    return audited.read_bars(spark, out, schema)
+
+
+def stream_late(spark, d):
+    """What the same stream counted: rows in, used and late per micro-batch, and the late rows themselves."""
+    out, schema = _audited_hours(spark, d)
+    table = audited.EpochTable(spark, out)
+    late = table.late(schema).groupBy("epoch").agg(F.count(F.lit(1)).alias("rows_kept_aside"))
+    counts = table.audit().drop("watermark").join(late, "epoch", "left")
+    return counts.select(F.col("epoch").cast("long").alias("epoch"), "rows_in", "rows_used", "rows_late",
+                         F.coalesce("rows_kept_aside", F.lit(0).cast("long")).alias("rows_kept_aside"))
+
+
+def stream_100tick(spark, d):
+    """Bars of 100 ticks over three micro-batches in time order."""
+    out, checkpoint = workspace(spark, "stream-out"), workspace(spark, "checkpoint")
+    cuts = [F.col("timestamp") < F.lit(datetime(2024, 1, 10)), F.col("timestamp").between(F.lit(datetime(2024, 1, 10)), F.lit(datetime(2024, 1, 19, 23, 59, 59, 999999))),
+            F.col("timestamp") >= F.lit(datetime(2024, 1, 20))]
+    schema = _tick_parts(spark, d, (lambda live, cp: audited.tick_bar_sink(live, out, cp, 100), cuts), checkpoint)
+    return audited.read_tick_bars(spark, out, schema)
+
+
+def stream_stitch_late(spark, d):
+    """The continuous series of a stream whose bars may be 20 days late; three micro-batches."""
+    rows = fx.day_bars(spark, d, keep=("expiry", "part"))
+    path, out, checkpoint = workspace(spark, "stream-in"), workspace(spark, "stream-out"), workspace(spark, "checkpoint")
+    schema = rows.drop("part").schema
+    for part in range(3):
+        rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(path)
+        drain(audited.stitch_sink(read_stream(spark, path, schema), out, checkpoint, timedelta(days=365 * 4)))
+    return audited.read_stitched(spark, out, schema).select(BAR)
+
+
 _QUERIES = {
     "normalize_ticks": normalize_ticks,
     "normalize_new_york": normalize_new_york,
@@ -438,6 +627,25 @@ _QUERIES = {
     "validate_kept": validate_kept,
     "merge_vacuumed": merge_vacuumed,
     "export_run_open_ended": export_run_open_ended,
+    "list_root": list_root,
+    "prune_listed": prune_listed,
+    "merge_disjoint": merge_disjoint,
+    "merge_tiered": merge_tiered,
+    "merge_concurrent": merge_concurrent,
+    "replace_range": replace_range,
+    "store_migrated": store_migrated,
+    "refresh_weeks": refresh_weeks,
+    "session_days": session_days,
+    "fetch_pages": fetch_pages,
+    "stitch_all_ticks": stitch_all_ticks,
+    "export_single": export_single,
+    "export_present_streams": export_present_streams,
+    "export_all_timeframes": export_all_timeframes,
+    "scan_folders": scan_folders,
+    "stream_audited": stream_audited,
+    "stream_late": stream_late,
+    "stream_100tick": stream_100tick,
+    "stream_stitch_late": stream_stitch_late,
 }
 
 
@@ -513,6 +721,25 @@ f4_now AS (
 f4_cover AS (
   SELECT symbol, contract, CAST(coalesce(sum(bars_count), 0) AS BIGINT) AS prior_bars, count(*) AS ledger_rows
   FROM f4_now WHERE from_date <= DATE '2024-01-05' AND to_date >= DATE '2024-01-25' GROUP BY ALL)"""
+_F5 = """f5 AS (
+  SELECT concat('S', l_suppkey) AS symbol, concat('S', l_suppkey, ' ', strftime(l_shipdate, '%Y-%m')) AS contract,
+         'Future' AS instrument_type, CAST(max(l_shipdate) AS DATE) AS expiry, 'SIM' AS exchange
+  FROM lineitem GROUP BY l_suppkey, strftime(l_shipdate, '%Y-%m')),
+f5_kept AS (SELECT * FROM f5 WHERE expiry BETWEEN DATE '1995-01-10' AND DATE '1996-06-05')"""
+_F6 = """f6 AS (
+  SELECT l_returnflag AS symbol, concat(l_returnflag, ' C0') AS contract,
+         CASE l_linenumber % 3 WHEN 0 THEN 'last' WHEN 1 THEN 'bid' ELSE 'ask' END AS price_type,
+         CAST(l_shipdate AS TIMESTAMP) + to_seconds(CAST((l_orderkey * 7919 + l_linenumber * 61) % 86400 AS BIGINT)) AS timestamp,
+         l_extendedprice AS open, l_extendedprice + l_quantity AS high, l_extendedprice - l_quantity AS low,
+         l_extendedprice AS close, CAST(trunc(l_quantity) AS BIGINT) AS volume, (l_orderkey * 8 + l_linenumber) * 10000000 + l_partkey AS seq
+  FROM lineitem),
+hours_of(symbol, zone, opens, before) AS (VALUES ('A', 'America/Chicago', INTERVAL 17 HOUR, 1),
+  ('N', 'Europe/Berlin', INTERVAL 70 MINUTE, 0), ('R', 'America/New_York', INTERVAL 570 MINUTE, 0)),
+opened AS (
+  SELECT symbol, CAST(day AS DATE) AS session_date,
+         timezone('UTC', timezone(zone, day - to_days(before) + opens)) AS opens_at
+  FROM hours_of, (SELECT unnest(generate_series(TIMESTAMP '1991-10-01', TIMESTAMP '2002-03-31', INTERVAL 1 DAY)) AS day)
+  WHERE isodow(day) < 6 AND strftime(day, '%m-%d') NOT IN ('01-01', '07-04', '12-25'))"""
 _BAR = "symbol, contract, price_type, timestamp, unix_ms, open, high, low, close, volume"
 _TIE = "close DESC, high DESC, low DESC, open DESC, timestamp"
 _KEY = "symbol, price_type, unix_ms"
@@ -596,6 +823,14 @@ def _stopped(limit: int) -> str:
     FROM walk GROUP BY symbol, contract, price_type"""
 
 
+# Ticks by the micro-batch they come in, and whether their hour had ended 20 days before the newest tick until then.
+_LATE = f"""{_F1}, marks AS (
+  SELECT seq % 3 AS batch, max(max(timestamp)) OVER (ORDER BY seq % 3 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL 20 DAY AS mark FROM f1 GROUP BY seq % 3),
+split AS (SELECT f1.*, batch, coalesce(time_bucket(INTERVAL 1 HOUR, timestamp) + INTERVAL 1 HOUR <= mark, false) AS late
+  FROM f1 JOIN marks ON batch = seq % 3)"""
+
+
 _PROBE = f"""{_F1}, {_F3},
 minutes AS ({_bars('time_bucket(INTERVAL 1 MINUTE, timestamp)')}),
 days AS ({_bars('time_bucket(INTERVAL 1 DAY, timestamp)')}),
@@ -652,13 +887,16 @@ def oracle_sql() -> dict[str, str]:
               PARTITION BY batch, {_KEY} ORDER BY volume DESC, rank, contract, {_TIE}) = 1)
             SELECT {_BAR} FROM tops QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, batch) = 1""",
         "latest_wins": _LATEST,
-        "list_instruments": f"""WITH {_F3} SELECT symbol, contract AS full_name,
-            strftime(expiry, '%Y-%m-%d') AS expiry_iso, exchange FROM futures""",
+        "list_instruments": f"""WITH {_F5} SELECT symbol, contract AS full_name,
+            strftime(expiry, '%Y-%m-%d') AS expiry_iso, exchange FROM f5""",
+        "list_root": f"""WITH {_F5} SELECT symbol, contract AS full_name,
+            strftime(expiry, '%Y-%m-%d') AS expiry_iso, exchange FROM f5 WHERE symbol = 'S7'""",
+        "prune_listed": f"WITH {_F5} SELECT * FROM f5_kept",
         "prune_contracts": f"WITH {_F3} SELECT * FROM kept",
-        "prune_report": f"""WITH {_F3} SELECT symbol, count(*) AS contracts_total,
-            count(*) FILTER (expiry BETWEEN DATE '2023-12-05' AND DATE '2024-04-25') AS contracts_kept,
-            count(*) FILTER (expiry NOT BETWEEN DATE '2023-12-05' AND DATE '2024-04-25') AS contracts_dropped
-            FROM futures GROUP BY symbol""",
+        "prune_report": f"""WITH {_F5} SELECT symbol, count(*) AS contracts_total,
+            count(*) FILTER (expiry BETWEEN DATE '1995-01-10' AND DATE '1996-06-05') AS contracts_kept,
+            count(*) FILTER (expiry NOT BETWEEN DATE '1995-01-10' AND DATE '1996-06-05') AS contracts_dropped
+            FROM f5 GROUP BY symbol""",
         "bars_of_contracts": f"WITH {_F1}, {_F3} SELECT f1.*, kept.expiry FROM f1 JOIN kept USING (symbol, contract)",
         "fetch_bars": f"""WITH {_F1}, {_HOURS} SELECT strftime(timestamp, {_ISO}) AS timestamp_iso,
             open, high, low, close, volume FROM hours
@@ -700,7 +938,7 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (c.contract IS NOT NULL) AS contracts_skipped
             FROM kept k LEFT JOIN f4_cover c ON c.symbol = k.symbol AND c.contract = k.contract GROUP BY k.symbol""",
         "ledger_latest": f"WITH {_F1}, {_F4} SELECT * FROM f4_now",
-        "chunk_ranges": f"""WITH {_F3}, s AS (SELECT DISTINCT symbol FROM f3)
+        "chunk_ranges": f"""WITH {_F5}, s AS (SELECT DISTINCT symbol FROM f5)
             SELECT symbol, range AS chunk_idx, TIMESTAMP '{WALK_START}' + to_days(CAST(range * 7 AS INTEGER)) AS chunk_from,
               least(TIMESTAMP '{WALK_START}' + to_days(CAST((range + 1) * 7 AS INTEGER)), TIMESTAMP '{WALK_END}') AS chunk_to
             FROM s, range(0, 7)""",
@@ -723,7 +961,7 @@ def oracle_sql() -> dict[str, str]:
             price_type, 'nt' AS source, open, high, low, close, volume FROM f1""",
         "export_manifest_counts": f"""WITH {_DAY_SERIES} SELECT count(*) AS bar_count,
             count(*) FILTER (price_type = 'last') AS last_count, count(*) FILTER (price_type = 'bid') AS bid_count,
-            count(*) FILTER (price_type = 'ask') AS ask_count, 'ready' AS status FROM day_series""",
+            count(*) FILTER (price_type = 'ask') AS ask_count, 'ready' AS status, true AS files_as_written FROM day_series""",
         "interchange_request": f"""WITH {_F1} SELECT count(*) AS bar_count,
             count(*) FILTER (price_type = 'last') AS last_count, 'ready' AS status
             FROM f1 WHERE contract = 'VIEW C2' AND {_RANGE}""",
@@ -743,6 +981,55 @@ def oracle_sql() -> dict[str, str]:
             WHERE timestamp >= TIMESTAMP '2024-01-05' AND timestamp <=
               CASE WHEN expiry <= DATE '2024-01-14' THEN TIMESTAMP '2024-01-15' ELSE TIMESTAMP '2024-02-01' END
             QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, expiry, contract, {_TIE}) = 1""",
+        "merge_disjoint": stitched_days,
+        "merge_concurrent": stitched_days,
+        "merge_tiered": f"""WITH {_F2}, batches AS (
+            SELECT * FROM f2 QUALIFY row_number() OVER (
+              PARTITION BY l_orderkey % 6, {_KEY} ORDER BY volume DESC, rank, contract, {_TIE}) = 1)
+            SELECT {_BAR} FROM batches QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, l_orderkey % 6) = 1""",
+        "replace_range": f"""WITH {_F2}, batches AS (
+            SELECT *, CASE WHEN part < 2 THEN 1 ELSE 2 END AS batch FROM f2
+            WHERE part = 2 OR timestamp NOT BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-12-31 23:59:59.999'),
+            tops AS (SELECT * FROM batches QUALIFY row_number() OVER (
+              PARTITION BY batch, {_KEY} ORDER BY volume DESC, rank, contract, {_TIE}) = 1)
+            SELECT {_BAR} FROM tops QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, batch) = 1""",
+        "store_migrated": f"WITH {_DAY_SERIES} SELECT * REPLACE ('' AS contract) FROM (SELECT {_BAR} FROM day_series)",
+        "refresh_weeks": f"""WITH merged AS (WITH {_MERGED}), w AS (
+            SELECT *, make_timestamp((epoch_us(timestamp) // {7 * 86_400_000_000}) * {7 * 86_400_000_000}) AS start FROM merged)
+            SELECT symbol, price_type, epoch_ms(start) AS unix_ms, start AS timestamp, arg_min(open, timestamp) AS open,
+              max(high) AS high, min(low) AS low, arg_max(close, timestamp) AS close, CAST(sum(volume) AS BIGINT) AS volume,
+              count(*) AS n FROM w GROUP BY symbol, price_type, start""",
+        "session_days": f"""WITH {_F6}, t AS (
+            SELECT f6.*, o.session_date, o.opens_at FROM f6 ASOF JOIN opened o
+            ON f6.symbol = o.symbol AND f6.timestamp >= o.opens_at)
+            SELECT symbol, contract, price_type, session_date, epoch_us(opens_at) // 1000 AS unix_ms, opens_at AS timestamp,
+              arg_min(open, row(timestamp, seq)) AS open, max(high) AS high, min(low) AS low,
+              arg_max(close, row(timestamp, seq)) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n
+            FROM t GROUP BY symbol, contract, price_type, session_date, opens_at""",
+        "fetch_pages": f"""WITH {_F1}, {_HOURS} SELECT strftime(timestamp, {_ISO}) AS timestamp_iso,
+            open, high, low, close, volume FROM hours
+            WHERE contract = 'CLICK C1' AND price_type = 'last' AND {_RANGE}""",
+        "stitch_all_ticks": f"""WITH {_F1}, {_F3} SELECT {_BAR}, seq FROM (
+            SELECT f1.*, f3.expiry FROM f1 LEFT JOIN f3 USING (symbol, contract)) QUALIFY row_number() OVER (
+              PARTITION BY {_KEY}, seq ORDER BY volume DESC, expiry, contract, {_TIE}) = 1""",
+        "export_single": f"""WITH {_DAY_SERIES} SELECT unix_ms, open, high, low, close, volume, contract,
+            concat(symbol, '/', price_type) AS name FROM day_series""",
+        "export_present_streams": f"""WITH {_DAY_SERIES} SELECT DISTINCT symbol, price_type FROM day_series
+            WHERE NOT (symbol = 'A' AND price_type = 'ask')""",
+        "export_all_timeframes": f"""WITH {_F1}, {_F3}, s AS (SELECT {tick_bar} FROM f1 JOIN kept USING (symbol, contract) WHERE {_RANGE}
+            QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY volume DESC, expiry, contract, {_TIE}) = 1)
+            SELECT s.*, t.timeframe FROM s, (VALUES ('ticks'), ('days')) AS t(timeframe)""",
+        "scan_folders": f"WITH {_F1} SELECT {tick_bar} FROM f1 WHERE contract = 'CLICK C1' AND {_RANGE}",
+        "stream_audited": f"WITH {_LATE} {_bars('time_bucket(INTERVAL 1 HOUR, timestamp)', '(SELECT * FROM split WHERE NOT late)')}",
+        "stream_late": f"""WITH {_LATE} SELECT batch AS epoch, count(*) AS rows_in, count(*) FILTER (NOT late) AS rows_used,
+            count(*) FILTER (late) AS rows_late, count(*) FILTER (late) AS rows_kept_aside FROM split GROUP BY batch""",
+        "stream_100tick": _tick_bars(100),
+        "stream_stitch_late": f"""WITH {_F2}, marks AS (
+            SELECT part, max(max(timestamp)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              - INTERVAL 1460 DAY AS mark FROM f2 GROUP BY part),
+            used AS (SELECT f2.* FROM f2 JOIN marks USING (part) WHERE mark IS NULL OR timestamp > mark)
+            SELECT {_BAR} FROM used QUALIFY row_number() OVER (
+              PARTITION BY {_KEY} ORDER BY volume DESC, rank, contract, {_TIE}) = 1""",
         "stream_stitch": stitched_days,
         "stream_bars": f"WITH {_F1} {_bars('time_bucket(INTERVAL 1 HOUR, timestamp)')}",
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,45 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("SIM").alias("exchange")))
 
 
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog that grows with the data: a future per supplier and month of shipping, and a stock per supplier.
+
+    A contract expires on the last day something was shipped in its month.
+    """
+    symbol, month = F.concat(F.lit("S"), F.col("l_suppkey").cast("string")), F.date_format("l_shipdate", "yyyy-MM")
+    lines = pin_utc(spark).read.parquet(f"{sf_dir}/lineitem.parquet")
+    futures = (lines.groupBy(symbol.alias("symbol"), month.alias("month")).agg(F.max("l_shipdate").cast("date").alias("expiry"))
+               .select("symbol", F.concat_ws(" ", "symbol", "month").alias("contract"), F.lit("Future").alias("instrument_type"), "expiry"))
+    stocks = lines.groupBy(symbol.alias("symbol")).agg(F.max("l_shipdate").cast("date").alias("expiry")).select(
+        "symbol", F.concat("symbol", F.lit(" SPOT")).alias("contract"), F.lit("Stock").alias("instrument_type"), "expiry")
+    return futures.unionByName(stocks).withColumn("exchange", F.lit("SIM"))
+
+
+# Fixed values of the fixture: each symbol's exchange clock, opening time and days before the trading day; and holidays of all.
+CALENDARS = [("A", "America/Chicago", "17:00:00", 1), ("N", "Europe/Berlin", "01:10:00", 0), ("R", "America/New_York", "09:30:00", 0)]
+HOLIDAYS = [(1, 1), (7, 4), (12, 25)]
+
+
+def spread_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as ticks spread over the day, one contract per symbol."""
+    lines = pin_utc(spark).read.parquet(f"{sf_dir}/lineitem.parquet")
+    second = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 61) % 86_400
+    at = F.timestamp_micros(F.unix_micros(F.col("l_shipdate").cast("timestamp")) + second * 1_000_000)
+    price, qty = F.col("l_extendedprice"), F.col("l_quantity")
+    return lines.select(
+        F.col("l_returnflag").alias("symbol"), F.concat(F.col("l_returnflag"), F.lit(" C0")).alias("contract"),
+        F.expr(_STREAM.format("l_linenumber")).alias("price_type"), at.alias("timestamp"), F.unix_millis(at).alias("unix_ms"),
+        price.alias("open"), (price + qty).alias("high"), (price - qty).alias("low"), price.alias("close"),
+        qty.cast("bigint").alias("volume"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 10_000_000 + F.col("l_partkey")).cast("bigint").alias("seq"))
+
+
+def calendars(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calendars, holidays of 1990 to 2003, and the calendar of each symbol."""
+    rows = spark.createDataFrame([(f"cal {s}", *rest) for s, *rest in CALENDARS], "calendar string, zone string, opens string, opens_before int")
+    days = spark.createDataFrame([(None, date(y, m, d)) for y in range(1990, 2004) for m, d in HOLIDAYS], "calendar string, day date")
+    return rows, days, spark.createDataFrame([(s, f"cal {s}") for s, *_ in CALENDARS], "symbol string, calendar string")
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks per contract: covered, two adjoining halves, too narrow, covered with nothing, none.
 

@@ -14,9 +14,9 @@ from tapeweave.operators.catalog import bars_of_contracts, for_root, prune_contr
 from tapeweave.operators.inspect import contract_steps, with_final
 from tapeweave.operators.ranges import filter_range, resolve_range
 from tapeweave.schema import TIMEFRAMES, check_timeframe
-from tapeweave.session import written
+from tapeweave.session import remove_path, workspace, written
 from tapeweave.sources.ledger import unfinished
-from tapeweave.sources.sinks import export_csv, export_parquet
+from tapeweave.sources.sinks import Written, export_csv, export_parquet
 from tapeweave.sources.store import BarStore
 
 
@@ -31,6 +31,7 @@ class ExportResult:
     summary: DataFrame
     series: DataFrame
     outputs: dict[str, str]
+    written: dict[str, Written]
 
 
 def export_series(store: BarStore, catalog: DataFrame, raw: DataFrame, symbol: str | None, timeframe: str,
@@ -81,19 +82,24 @@ def export_series(store: BarStore, catalog: DataFrame, raw: DataFrame, symbol: s
         numbers.append(store.merge(bars_of(group), timeframe, contracts=group, frm=request.from_date, to=request.covered_to,
                                    replace=replace and n == 0, completed_at=naive_utc(now)))
     series = store.read(timeframe, symbol)
-    outputs = {}
+    outputs, done = {}, {}
     exported = filter_range(series, *request.instants(tz)) if range_only else series
     wanted = [f for f in ("csv", "parquet") if f in formats]
     if wanted and store.has_bars(timeframe, symbol):
         # several formats are written from one evaluation of the series
-        exported = written(exported, "series") if len(wanted) > 1 else exported
+        work = workspace(store.spark, "series") if len(wanted) > 1 else None
+        if work:
+            exported.write.parquet(work)
+            exported = store.spark.read.schema(exported.schema).parquet(work)
         for fmt in wanted:
             sink = export_csv if fmt == "csv" else export_parquet
             outputs[fmt] = f"{out.rstrip('/')}/{fmt}/timeframe={timeframe}/run={naive_utc(now):%Y%m%d_%H%M%S}"
-            sink(exported, outputs[fmt])
+            done[fmt] = sink(exported, outputs[fmt])
+        if work:
+            remove_path(store.spark, work)
     # counted and refused is what was merged, not what the source would say now
     return ExportResult(numbers[-1] if numbers else None, todo, steps, store.refused(timeframe, numbers),
-                        with_final(store.staged(numbers), series), series, outputs)
+                        with_final(store.staged(numbers), series), series, outputs, done)
 
 
 def _groups(todo: DataFrame, size: int | None) -> list[DataFrame]:

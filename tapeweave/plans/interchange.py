@@ -18,10 +18,9 @@ def export_contract(bars: DataFrame, contract: str, start: datetime | str, end:
     """Write the contract's bars and return the manifest; status ``no_data`` when there are none.
 
     ``bars`` are normalised bars per contract; ``sequence`` names their arrival
-    order, which settles a repeated (price_type, ts_event) in Parquet. The
-    manifest counts rows before that.
+    order, which settles a repeated (price_type, ts_event) in Parquet and is
+    needed for it. The manifest counts rows before that, and what is left of them.
     """
     picked = filter_range(select_streams(bars.filter(F.col("contract") == contract), streams), start, end)
     rows = to_interchange(picked, keep=(sequence,) if sequence else ())
-    export_interchange(rows, out, fmt, sequence, compression)
-    return export_manifest(bars.sparkSession, out, rows, fmt)
+    return export_manifest(bars.sparkSession, out, export_interchange(rows, out, fmt, sequence, compression), fmt)

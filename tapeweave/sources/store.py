@@ -100,8 +100,11 @@ class BarStore:
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def _scan(self, files: list[File]) -> DataFrame:
-        rows = (self.spark.read.schema(_STORED).option("basePath", self._bars)
-                .parquet(*[f"{self._bars}/{f.path}" for f in files]))
+        return self.scan_paths([f.path for f in files])
+
+    def scan_paths(self, paths: list[str]) -> DataFrame:
+        """Rows of stored files as they lie there."""
+        rows = self.spark.read.schema(_STORED).option("basePath", self._bars).parquet(*[f"{self._bars}/{p}" for p in paths])
         return rows.withColumn("contract", F.coalesce("contract", F.lit("")))
 
     def _numbered(self, files: list[File]) -> DataFrame:

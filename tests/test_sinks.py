@@ -97,19 +97,18 @@ def test_interchange_parquet_is_keyed_and_snappy(spark):
     assert meta.metadata.row_group(0).column(0).compression == "SNAPPY"
 
 
-def test_interchange_without_sequence_keeps_the_fuller_bar(spark):
-    df = sinks.to_interchange(frame(spark, [bar("2024-01-05", 9), bar("2024-01-05", 1), bar("2024-01-05", 4, "ES M4")]))
+def test_interchange_keyed_by_arrival_in_both_formats(spark):
+    df = sinks.to_interchange(frame(spark, [bar("2024-01-05", 1, seq=2), bar("2024-01-05", 9, seq=1), bar("2024-01-05", 4, "ES M4", seq=1)]), keep=("seq",))
     for fmt in ("parquet", "csv"):
         out = workspace(spark, "interchange")
-        sinks.export_interchange(df, out, fmt, dedup=True)
-        assert rows_of(sinks.read_interchange(spark, out, fmt), "symbol", "volume") == [("ES H4", 9), ("ES M4", 4)]
+        sinks.export_interchange(df, out, fmt, sequence="seq", dedup=True)
+        assert rows_of(sinks.read_interchange(spark, out, fmt), "symbol", "volume") == [("ES H4", 1), ("ES M4", 4)]
 
 
 def test_manifest_counts_and_hashes(spark):
     out = workspace(spark, "csv")
     df = many(spark)
-    sinks.export_csv(df, out, "gzip")
-    row = sinks.export_manifest(spark, out, df, "csv").first()
+    row = sinks.export_manifest(spark, out, sinks.export_csv(df, out, "gzip"), "csv").first()
     assert (row["bar_count"], row["status"]) == (3000, "ready")
     assert row["bar_count_by_stream"] == {"last": 1500, "bid": 1500}
     files = sinks.export_files(spark, out, "csv").collect()
