@@ -91,12 +91,11 @@ def export_single_csv(bars: DataFrame, out: str, compression: str | None = "gzip
     after the other, as bytes: gzip files may be joined so. It sorts nothing and
     holds a few megabytes; size and SHA-256 come from the bytes it writes.
     """
-    spark = bars.sparkSession
-    work = workspace(spark, "parts")
-    export_csv(bars, work, compression, header=False)
-    suffix = ".csv.gz" if compression == "gzip" else ".csv"
     if compression not in (None, "gzip"):
         raise ValueError(f"compression must be gzip or None, got {compression!r}")
+    spark, suffix = bars.sparkSession, ".csv.gz" if compression else ".csv"
+    work = workspace(spark, "parts")
+    export_csv(bars, work, compression, header=False)
     listed = (_part_files(spark, work, "csv").select("path")
               .groupBy(F.regexp_extract("path", "(root=[^/]*)/stream=([^/]*)/[^/]*$", 1).alias("root"),
                        F.regexp_extract("path", "(root=[^/]*)/stream=([^/]*)/[^/]*$", 2).alias("stream"))
