@@ -15,9 +15,9 @@ of the wanted similarity share at least ``1 + s`` shingles among the first
 4. in each list every set is first compared with the list's smallest document,
    which joins large groups of near copies by as many pairs as they have sets;
 5. lists whose sets aren't yet in one component go through a trie of the ordered
-   extended prefixes: a walk shares the overlap of common beginnings and leaves
-   a subtree when what remains of both sets can't reach the similarity. Very
-   long lists are dealt out as pairs of blocks;
+   extended prefixes: one walk for all sets of the list shares the overlaps with
+   common beginnings and leaves a subtree when what remains of both sets can't
+   reach the similarity. Very long lists are dealt out as pairs of blocks;
 6. what the trie leaves possible is verified on the whole sets.
 """
 
@@ -98,124 +98,137 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 class Trie:
-    """Beginnings of ordered sets by what they share; each node knows the sizes of the sets behind it.
+    """Beginnings of ordered sets by what they share, walked once for all sets that ask.
 
-    Sets may be given whole or by their first elements; a set of which only
-    those are known is found unless what is known rules it out.
+    An edge holds all that the sets below it have in common, so a node is a run of
+    the sorted sets. For every asking set the walk keeps the overlap with the path
+    so far, which all sets below share. Sets may be given whole or by their first
+    elements; a pair is found unless what is known of both rules it out.
     """
 
-    def __init__(self):
-        self.root: list = [{}, 1 << 60, 0, []]  # children by shingle, least and greatest size, sets that end here
-
-    def add(self, values: list[int], size: int, key: int) -> None:
-        node = self.root
-        for v in values:
-            node[1], node[2] = min(node[1], size), max(node[2], size)
-            below = node[0].get(v)
-            if below is None:
-                below = node[0][v] = [{}, 1 << 60, 0, []]
-            node = below
-        node[1], node[2] = min(node[1], size), max(node[2], size)
-        node[3].append((key, size))
-
-    def similar(self, values: list[int], size: int, num: int, den: int) -> list[int]:
-        """Keys of the sets that may be similar enough to the one of ``size`` that begins with ``values``."""
-        found: list[int] = []
-        known = len(values)
-        least = (num * size + den - 1) // den
-        todo = [(self.root, 0, 0, 0)]  # node, place in ``values``, depth, overlap so far
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, num: int, den: int):
+        self.num, self.den = num, den
+        order = sorted(range(len(sets)), key=lambda i: sets[i].tolist())
+        self.order, self.sizes = np.array(order, np.int64), sizes[order]
+        sets = [sets[i] for i in order]
+        known = np.array([len(v) for v in sets], np.int64)
+        everything = np.concatenate(sets)
+        values, rank = np.unique(everything, return_inverse=True)
+        self.width, owner = len(values) + 1, np.repeat(np.arange(len(sets)), known)
+        at = np.r_[0, np.cumsum(known)]
+        self.sets = [rank[a:b] for a, b in zip(at, at[1:])]
+        self.last = np.array([v[-1] if len(v) else -1 for v in self.sets], np.int64)
+        # which sets hold a value, and where a value comes in each set
+        by_value = np.argsort(rank, kind="stable")
+        self.holders, self.first = owner[by_value], np.searchsorted(rank[by_value], np.arange(self.width))
+        self.places, self.starts = owner * self.width + rank, at[:-1]
+        self.shared = [self._shared(x, y) for x, y in zip(self.sets, self.sets[1:])]
+
+    @staticmethod
+    def _shared(x: np.ndarray, y: np.ndarray) -> int:
+        n = min(len(x), len(y))
+        differ = x[:n] != y[:n]
+        at = int(differ.argmax()) if n else 0
+        return at if n and differ[at] else n
+
+    def similar(self, asking: np.ndarray | None = None, among: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """A set and those that may be similar to it, each pair once; as places in what the tree was made of.
+
+        With ``asking`` and ``among`` (flags) only pairs of a set among the one and a set asking.
+        """
+        n = len(self.sets)
+        ask = np.ones(n, bool) if asking is None else asking[self.order]
+        told = np.ones(n, bool) if among is None else among[self.order]
+        everyone = np.flatnonzero(ask)
+        # run of sets, depth of its node, who still asks, their overlaps
+        todo = [(0, n, 0, everyone, np.zeros(len(everyone), np.int64))]
         while todo:
-            node, i, depth, both = todo.pop()
-            while True:
-                # a smaller partner asks for a smaller overlap, a larger one leaves more to come
-                if both + min(size - i, node[2] - depth) < _required(size, max(node[1], least), num, den):
-                    break
-                for key, n in node[3]:
-                    if both + min(size - i, n - depth) >= _required(size, n, num, den):
-                        found.append(key)
-                children = node[0]
-                if i == known:  # nothing more is known: all that is possible below
-                    for below in children.values():
-                        self._below(below, size, size - i, depth, both, num, den, found)
-                    break
-                if len(children) != 1:
-                    for v, below in children.items():
-                        j = i
-                        while j < known and values[j] < v:
-                            j += 1
-                        if j < known and values[j] == v:
-                            todo.append((below, j + 1, depth + 1, both + 1))
-                        elif j < known or known == size:
-                            todo.append((below, j, depth + 1, both))
-                        else:
-                            self._below(below, size, size - j, depth, both, num, den, found)
-                    break
-                (v, below), = children.items()
-                while i < known and values[i] < v:
-                    i += 1
-                if i == known and known < size:
-                    self._below(below, size, size - i, depth, both, num, den, found)
-                    break
-                if i < known and values[i] == v:
-                    i, both = i + 1, both + 1
-                node, depth = below, depth + 1
-        return found
-
-    def _below(self, node: list, size: int, rest: int, depth: int, both: int, num: int, den: int, found: list[int]) -> None:
-        todo = [node]
-        while todo:
-            node = todo.pop()
-            if both + min(rest, node[2] - depth) < _required(size, max(node[1], (num * size + den - 1) // den), num, den):
+            low, high, depth, who, both = todo.pop()
+            if asking is None:  # each pair at its earlier set
+                later = who > low
+                who, both = who[later], both[later]
+            if not len(who) or not told[low:high].any():
+                continue
+            end = len(self.sets[low]) if high - low == 1 else min(self.shared[low:high - 1])
+            edge = self.sets[low][depth:end]
+            if len(edge):
+                both = both + self._hits(edge)[who]
+                who, both = self._possible(low, high, end, who, both)
+                if not len(who):
+                    continue
+            if high - low == 1:
+                if told[low]:
+                    who, both = self._possible(low, high, end, who, both)
+                    who = who[who != low]
+                    if len(who):
+                        yield int(self.order[low]), self.order[who]
                 continue
-            found += [key for key, n in node[3] if both + min(rest, n - depth) >= _required(size, n, num, den)]
-            todo += node[0].values()
+            begin = low
+            for i in range(low, high):
+                if i == high - 1 or self.shared[i] == end:
+                    todo.append((begin, i + 1, end, who, both))
+                    begin = i + 1
+
+    def _hits(self, edge: np.ndarray) -> np.ndarray:
+        """How many of the values each set holds."""
+        a, b = self.first[edge], self.first[edge + 1]
+        size = b - a
+        at = np.repeat(a - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+        return np.bincount(self.holders[at], minlength=len(self.sets))
+
+    def _possible(self, low: int, high: int, depth: int, who: np.ndarray, both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those for whom what remains of both sides can still reach the similarity with a set of the run."""
+        sizes, run = self.sizes[who], self.sizes[low:high]
+        path = self.sets[low][:depth]
+        passed = np.searchsorted(self.places, who * self.width + (path[-1] if depth else -1), side="right") - self.starts[who]
+        seen = np.searchsorted(path, self.last[who], side="right")  # of the path, before a set's known part ends
+        least = np.maximum(int(run.min()), (self.num * sizes + self.den - 1) // self.den)
+        enough = both + np.minimum(sizes - passed, int(run.max()) - seen) >= _required(sizes, least, self.num, self.den)
+        return who[enough], both[enough]
 
 
 def _walk(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of each list (rows sorted by ``key``) that may be similar; side 0 meets side 1 in a pair of blocks."""
 
-    def links(group: list[tuple]) -> list[tuple[int, int]]:
-        trie, comp = Trie(), {}
-        out = []
-        sides = len({r[3] for r in group}) > 1
-        for _, doc, component, side, size, values in group:
-            comp[doc] = component
-            if sides and side == 1:
-                continue
-            if not sides:
-                out += [(doc, d) for d in trie.similar(values, size, num, den) if comp[d] != component]
-            trie.add(values, size, doc)
-        if sides:
-            for _, doc, component, side, size, values in group:
-                if side == 1:
-                    out += [(doc, d) for d in trie.similar(values, size, num, den) if comp[d] != component]
-        return out
+    def links(docs: np.ndarray, component: np.ndarray, side: np.ndarray, size: np.ndarray, sets: list[np.ndarray]) -> tuple[list, list]:
+        sides = (side == 1).any() and (side == 0).any()
+        trie = Trie(sets, size, num, den)
+        x, y = [], []
+        for one, others in trie.similar(side == 1, side == 0) if sides else trie.similar():
+            others = others[component[others] != component[one]]
+            x += [docs[others]]
+            y += [np.full(len(others), docs[one])]
+        return x, y
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
+        rest: pa.RecordBatch | None = None
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            cols = [batch.column(i).to_pylist() for i in range(5)]
-            lists = batch.column(5)
-            off, val = lists.offsets.to_pylist(), lists.values.to_numpy()
-            for i, row in enumerate(zip(*cols)):
-                if group and row[0] != group[0][0]:
-                    found += links(group)
-                    group = []
-                group.append((*row, val[off[i]:off[i + 1]].tolist()))
-            if found:
-                yield _pairs(found)
-        if group:
-            yield _pairs(links(group))
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            key = batch.column(0).to_numpy()
+            other = np.flatnonzero(key != key[-1]) if len(key) else key
+            cut = int(other[-1]) + 1 if len(other) else 0  # rows of the last key may go on in the next batch
+            rest = batch.slice(cut)
+            if cut:
+                yield from lists(batch.slice(0, cut))
+        if rest is not None and rest.num_rows:
+            yield from lists(rest)
+
+    def lists(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        key, docs, component, side, size = (batch.column(i).to_numpy() for i in range(5))
+        off, val = batch.column(5).offsets.to_numpy(), batch.column(5).values.to_numpy()
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        x, y = [], []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
+            sets = [val[off[i]:off[i + 1]] for i in range(a, b)]
+            for out, more in zip((x, y), links(docs[a:b], component[a:b], side[a:b], size[a:b], sets)):
+                out += more
+        if x:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()), pa.array(np.concatenate(y), pa.int64())], ["x", "y"])
 
     return rows.mapInArrow(run, "x long, y long")
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
-                                       pa.array([y for _, y in found], pa.int64())], ["x", "y"])
-
-
 def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,
             den: int = 100, frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: ``doc``, ``n_shingles`` and ``component_id``.
@@ -236,10 +249,10 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
                .agg(F.min("doc").alias("rep"), F.min_by("shingles", "doc").alias("shingles")))
     classes = saved(classes, "shingle-classes")
     # ids of several rows, and the classes that an id of several texts joins
-    repeated = saved(sets.where("n > 0 and doc is not null").groupBy("doc")
-                     .agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("n", "s1", "s2")).alias("a"),
-                          F.max(F.struct("n", "s1", "s2")).alias("b"))
-                     .where("k > 1").select("doc", _int("a < b").alias("several")), "repeated-ids")
+    worded = F.when(F.col("n") > 0, F.struct("n", "s1", "s2"))
+    repeated = saved(sets.where("doc is not null").groupBy("doc")
+                     .agg(F.count(F.lit(1)).alias("k"), F.min(worded).alias("a"), F.max(worded).alias("b"))
+                     .where("k > 1").select("doc", F.coalesce(_int("a < b"), F.lit(False)).alias("several")), "repeated-ids")
     repeats = not repeated.isEmpty()
     # 2. which shingles of the extended prefixes do other representatives have
     listed = classes.select("rep", "n", F.explode("shingles").alias("shingle"))
@@ -310,6 +323,11 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     final = components(links.unionByName(more), "x", "y") if not more.isEmpty() else found
     of_class = (classes.select("n", "s1", "s2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("n", "s1", "s2", F.coalesce("component", "rep").alias("least")))
-    return (sets.select("doc", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
-            .select("doc", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc").isNotNull(), F.coalesce("least", "doc")).alias("component_id")))
+    out = (sets.select("doc", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
+           .select("doc", F.col("n").alias("n_shingles"),
+                   F.when(F.col("doc").isNotNull(), F.coalesce("least", "doc")).alias("component_id")))
+    if repeats:  # rows without words have the component of their id's other rows
+        known = (out.where("n_shingles > 0").join(repeated.select("doc"), "doc", "left_semi")
+                 .groupBy("doc").agg(F.min("component_id").alias("known")))
+        out = out.join(known, "doc", "left").select("doc", "n_shingles", F.coalesce("known", "component_id").alias("component_id"))
+    return out

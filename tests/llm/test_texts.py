@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tapeweave.llm import decontaminate, jaccard, line_dedup, repeats
@@ -140,19 +141,29 @@ def test_jaccard_of_different_texts_of_one_id(spark):
 
 
 @pytest.mark.parametrize("known", [1.0, 0.6])
-def test_trie_finds_what_it_should(known):
+@pytest.mark.parametrize("sides", [False, True])
+def test_trie_finds_what_it_should(known, sides):
     rng = random.Random(6)
     sets = [sorted(rng.sample(range(30), rng.randrange(1, 20))) for _ in range(150)]
-    begin = [s[:max(1, int(known * len(s)))] for s in sets]
-    trie = jaccard.Trie()
-    for k, s in enumerate(sets):
-        trie.add(begin[k], len(s), k)
-    for k, s in enumerate(sets):
-        want = {k for k, o in enumerate(sets) if 10 * len({*s} & {*o}) >= 6 * len({*s} | {*o})}
-        got = set(trie.similar(begin[k], len(s), 6, 10))
-        assert got >= want and len(got) < 150
-        if known == 1:
-            assert got == want
+    sets += sets[:5]
+    begin = [np.array(s[:max(1, int(known * len(s)))]) for s in sets]
+    trie = jaccard.Trie(begin, np.array([len(s) for s in sets]), 6, 10)
+    side = np.array([i % 3 == 0 for i in range(len(sets))])
+    found = list(trie.similar(side, ~side) if sides else trie.similar())
+    got = [tuple(sorted((one, int(o)))) for one, others in found for o in others]
+    want = {(i, j) for i, s in enumerate(sets) for j, o in enumerate(sets) if i < j and (not sides or side[i] != side[j])
+            and 10 * len({*s} & {*o}) >= 6 * len({*s} | {*o})}
+    assert len(got) == len(set(got)) and set(got) >= want and len(got) < 150 * 150 / 4
+    if known == 1:
+        assert set(got) == want
+
+
+def test_jaccard_of_an_id_with_and_without_words(spark):
+    rng = random.Random(13)
+    body = " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60))
+    got = jaccard.cluster(frame(spark, [(1, body), (5, body + " end"), (5, None), (6, ""), (6, None), (7, body)]), words=5, num=80, den=100)
+    assert sorted((r["doc"], r["n_shingles"], r["component_id"]) for r in got.collect()) == [
+        (1, 56, 1), (5, 0, 1), (5, 57, 1), (6, 0, 6), (6, 0, 6), (7, 56, 1)]
 
 
 # --- repeats
