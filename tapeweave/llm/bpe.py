@@ -33,13 +33,15 @@ from tapeweave.llm.common import saved, with_column
 from tapeweave.session import workspace
 
 LEXICON_WORDS = 65_536  # bounds the automaton; a word outside is merged, never dropped
-MEMO_WORDS = 150_000  # ids of recent words that a worker keeps
-MEMO_PIECES = 50_000  # and of recent pieces of them
+MEMO_WORDS = 200_000  # words of each of the two generations that a worker keeps
+MEMO_PIECES = 200_000  # and pieces of words
 LONG_WORD = 64  # longer words are neither counted nor kept
+DECODE_IDS = 1 << 18  # ids that are decoded in one step
 FLUSH_WORDS = 400_000  # distinct words that a counting task holds at once
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _BESIDE = re.compile(r" \s|\s | \Z")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -69,6 +71,7 @@ class Vocabulary:
         self.made = [self.ids[x + y] for x, y in pairs]
         self.known: dict[str, list[int]] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         keys = np.array(list(self.rank), np.int64)
         order = np.argsort(keys)
         self._keys, self._ranks = keys[order], np.arange(len(keys))[order]
@@ -101,7 +104,9 @@ class Vocabulary:
         """
         out: list[bytes | None] = [None] * len(words)
         together = [i for i, w in enumerate(words) if w[:1] == " " and len(w) <= LONG_WORD and not w[-1:].isspace()
-                    and not w[1:2].isspace() and not (self._special and self._special.search(w))]
+                    and not w[1:2].isspace()]
+        if self._special and self._special.search("".join(words)):
+            together = [i for i in together if not self._special.search(words[i])]
         if together:
             pieces = self._pattern.findall("".join([words[i] for i in together]))
             ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
@@ -110,11 +115,16 @@ class Vocabulary:
             if not (ends[at] == want).all():
                 raise AssertionError("a word ran into the next one")
             if len(self.pieces) > MEMO_PIECES:
-                self.pieces.clear()
-            known = self.pieces
-            new = list({p for p in pieces if p not in known})
+                self.pieces, self.older_pieces = {}, self.pieces
+            known, older = self.pieces, self.older_pieces
+            fresh = set(pieces)
+            fresh -= known.keys()
+            back = fresh & older.keys()
+            for p in back:
+                known[p] = older[p]
+            new = list(fresh - back)
             known.update(zip(new, self._merge_many([p.encode() for p in new])))
-            data = [known[p] for p in pieces]
+            data = list(map(known.__getitem__, pieces))
             begin = 0
             for i, end in zip(together, (at + 1).tolist()):
                 out[i] = data[begin] if end == begin + 1 else b"".join(data[begin:end])
@@ -296,11 +306,41 @@ class Lexicon:
             at += -(-out[k].nbytes // 8) * 8
         return cls(out)
 
+    def _edges(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Edges by a hash of their key, in a table at most half full: key (-1: none), edge number, and the shift."""
+        if not hasattr(self, "_table"):
+            keys = np.array(self.keys[1:], np.int64)
+            bits = max(4, int(2 * len(keys)).bit_length())
+            slots, edges = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+            at = (keys.astype(np.uint64) * _SPREAD >> np.uint64(64 - bits)).astype(np.int64)
+            rest = np.arange(len(keys))
+            while len(rest):  # each round the first of those that want a free slot gets it
+                free = rest[slots[at[rest]] < 0]
+                place, who = np.unique(at[free], return_index=True)
+                slots[place], edges[place] = keys[free[who]], free[who]
+                rest = np.setdiff1d(rest, free[who], assume_unique=True)
+                at[rest] = (at[rest] + 1) & ((1 << bits) - 1)
+            self._table = (slots, edges, bits)
+        return self._table
+
+    def _step(self, want: np.ndarray) -> np.ndarray:
+        """The edge of each key, -1 where there is none."""
+        slots, edges, bits = self._edges()
+        at = (want.astype(np.uint64) * _SPREAD >> np.uint64(64 - bits)).astype(np.int64)
+        found = np.full(len(want), -1, np.int64)
+        rest = np.arange(len(want))
+        while len(rest):
+            here = slots[at[rest]]
+            hit = here == want[rest]
+            found[rest[hit]] = edges[at[rest[hit]]]
+            rest = rest[~hit & (here >= 0)]
+            at[rest] = (at[rest] + 1) & ((1 << bits) - 1)
+        return found
+
     def find(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, -1 where it is not in the lexicon; all words step together."""
         number = np.full(len(words), -1, np.int64)
-        keys = self.keys[1:]
-        if not len(keys) or not words:
+        if len(self.keys) < 2 or not words:
             return number
         text = np.frombuffer(b"".join(words), np.uint8)
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -310,9 +350,8 @@ class Lexicon:
         rank = np.zeros(len(live), np.int64)
         step = 0
         while len(live):
-            want = state * 256 + text[start[live] + step]
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            ok = keys[at] == want
+            at = self._step(state * 256 + text[start[live] + step])
+            ok = at >= 0
             live, at = live[ok], at[ok]
             rank, state = rank[ok] + self.skip[at], self.target[at].astype(np.int64)
             step += 1
@@ -327,32 +366,37 @@ class Lexicon:
 
 
 class WordEncoder:
-    """Ids of texts through a memo of recent words; ``fresh`` gives the ids (as bytes) of new ones."""
+    """Ids of texts through a memo of recent words; ``fresh`` gives the ids (as bytes) of new ones.
+
+    The memo has two generations: a full one becomes the older, and words still in
+    use move to the new one, so frequent words are never asked for again. The
+    first word of a text, which has no space before it, is a key of its own kind.
+    """
 
     def __init__(self, fresh: Callable[[list[str]], list[bytes]]):
-        self.fresh, self.memo, self.first = fresh, {}, {}
+        self.fresh, self.memo, self.older = fresh, {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         parts = [words_of(t) for t in texts]
-        new, heads = set(), set()
         for p in parts:
-            heads.add(p[0])
-            new.update(p[1:])
-        new -= self.memo.keys()
-        heads -= self.first.keys()
-        more, first = list(new), list(heads)
-        found = self.fresh([f" {w}" for w in more] + first)
-        memo = self.memo
-        memo.update(zip(more, found))
-        self.first.update(zip(first, found[len(more):]))
-        out = [b"".join((self.first[p[0]], *map(memo.__getitem__, p[1:]))) for p in parts]
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        self.first.clear()
-        for w in more if memo else ():
-            if len(w) > LONG_WORD:
+            p[0] = (p[0],)
+        memo, older = self.memo, self.older
+        new = set().union(*parts)
+        new -= memo.keys()
+        back = new & older.keys()
+        new -= back
+        for w in back:
+            memo[w] = older[w]
+        more = list(new)
+        memo.update(zip(more, self.fresh([w[0] if type(w) is tuple else " " + w for w in more])))
+        get = memo.__getitem__
+        out = [b"".join(map(get, p)) for p in parts]
+        for w in more:
+            if type(w) is tuple or len(w) > LONG_WORD:
                 del memo[w]
+        if len(memo) > MEMO_WORDS:
+            self.older, self.memo = memo, {}
         return out
 
 
@@ -391,25 +435,29 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """How often each word (``word``, with the space before it) occurs in all texts: ``n``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: Counter = Counter()  # words behind a space, without it
+        first: Counter = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 if t:
                     p = words_of(t)
-                    seen[p[0]] += 1
-                    seen.update([f" {w}" for w in p[1:]])
-                if len(seen) > FLUSH_WORDS:
-                    yield _counted(seen)
+                    first[p[0]] += 1
+                    del p[0]
+                    seen.update(p)
+                if len(seen) + len(first) > FLUSH_WORDS:
+                    yield _counted(seen, first)
                     seen.clear()
-        if seen:
-            yield _counted(seen)
+                    first.clear()
+        if seen or first:
+            yield _counted(seen, first)
 
     return (docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def _counted(seen: Counter) -> pa.RecordBatch:
-    rows = [(w, n) for w, n in seen.items() if 0 < len(w) <= LONG_WORD]
+def _counted(seen: Counter, first: Counter) -> pa.RecordBatch:
+    rows = [(" " + w, n) for w, n in seen.items() if len(w) < LONG_WORD]
+    rows += [(w, n) for w, n in first.items() if 0 < len(w) <= LONG_WORD]
     return pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()),
                                        pa.array([n for _, n in rows], pa.int64())], ["word", "n"])
 
@@ -465,12 +513,26 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decode
     nothing; bytes that are not UTF-8 become replacement characters.
     """
     with open(tokenizer, encoding="utf-8") as f:
-        sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(f.read()).bytes)
+        known = Vocabulary(f.read()).bytes
+    table = [known.get(i, b"") for i in range(max(known, default=-1) + 1)] + [b""]  # the last one for ids it lacks
+    sent = docs.sparkSession.sparkContext.broadcast((b"".join(table), np.array([len(b) for b in table], np.int64)))
 
     def run(rows: pa.ListArray) -> pa.Array:
-        known, values, offsets = sent.value, rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_pylist()
-        get = known.get
-        return pa.array([b"".join([get(i, b"") for i in values[x:y].tolist()]).decode("utf-8", "replace")
-                         for x, y in zip(offsets, offsets[1:])], pa.string())
+        flat, size = sent.value
+        flat, start = np.frombuffer(flat, np.uint8), np.cumsum(size) - size
+        values, offsets = rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy().astype(np.int64)
+        out: list[str] = []
+        a = 0
+        while a < len(rows):  # some documents at a time, of about DECODE_IDS ids
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + DECODE_IDS, side="right")) - 1)
+            ids = np.nan_to_num(values[offsets[a]:offsets[b]], nan=-1).astype(np.int64)
+            ids[(ids < 0) | (ids >= len(size))] = len(size) - 1
+            n = size[ids]
+            end = np.cumsum(n)
+            data = flat[np.repeat(start[ids] - (end - n), n) + np.arange(n.sum())].tobytes()
+            cut = np.r_[0, end][offsets[a:b + 1] - offsets[a]].tolist()
+            out += [data[x:y].decode("utf-8", "replace") for x, y in zip(cut, cut[1:])]
+            a = b
+        return pa.array(out, pa.string())
 
     return with_column(docs, ids, out, T.StringType(), run)

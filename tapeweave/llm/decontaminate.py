@@ -22,10 +22,13 @@ from tapeweave.llm.common import with_column
 
 Q = 8
 RATE = 0.1  # edits allowed for each character of a passage
-BLOCK_CHARS = 2_000_000  # characters of the benchmark that are broadcast at once
+BLOCK_CHARS = 2_000_000  # characters of the benchmark that are broadcast as one
+HELD = 4  # blocks whose index a worker holds; each text is read once for so many
 SPAN = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 22
+TABLES = 64  # alignments that go together
+_NOWHERE = 0xFFFFFFFF  # matches no character
 GROUP_CHARS = 1 << 20  # characters of texts that are looked at in one step
 _SPACE = np.zeros(0x202B, bool)
 _SPACE[[32, 9, 10, 11, 12, 13, 0xA0, 0x2028, 0x2029]] = True
@@ -48,11 +51,17 @@ def fold(text: str) -> tuple[np.ndarray, np.ndarray]:
 def grams(code: np.ndarray, q: int) -> np.ndarray:
     if len(code) < q:
         return np.zeros(0, np.uint64)
-    h = np.zeros(len(code) - q + 1, np.uint64)
-    for i in range(q):
-        h *= _BASE
-        h += code[i:len(code) - q + 1 + i]
-    return h ^ (h >> np.uint64(29))
+    # hashes of 1, 2, 4, ... characters; q is put together from them
+    part, size, power = code.astype(np.uint64), 1, np.full(1, _BASE)
+    h, done = np.zeros(len(code) - q + 1, np.uint64), 0
+    while True:
+        if q & size:
+            h = h * power + part[done:done + len(h)]
+            done += size
+        if done == q:
+            return h ^ (h >> np.uint64(29))
+        part = part[:-size] * power + part[size:]
+        size, power = 2 * size, power * power
 
 
 def budget(length: int, q: int = Q, rate: float = RATE) -> int:
@@ -60,32 +69,54 @@ def budget(length: int, q: int = Q, rate: float = RATE) -> int:
     return max(0, min(int(rate * length), (length - q) // q))
 
 
-def align(item: np.ndarray, region: np.ndarray, k: int) -> tuple[int, int, int] | None:
-    """Best place of ``item`` in ``region``: (edits, start, end) with at most ``k`` edits, else None.
+def align(items: list[np.ndarray], regions: list[np.ndarray], budgets: list[int]) -> list[tuple[int, int, int] | None]:
+    """Best place of each item in its region: (edits, start, end) with at most its budget of edits, else None.
 
-    Row i of the table is kept on the columns i to i + width, where ``width``
+    Row i of a table is kept on the columns i to i + width, where ``width``
     is what the region is longer than the item, so the cost is a band and not
-    the whole table. Ends of the region are free.
+    the whole table. Ends of a region are free. All tables go row by row
+    together, the longest items first, so that those which are done are the last.
     """
-    n, m = len(item), len(region)
-    width = m - n
-    if width < 0:
-        return None
+    out: list[tuple[int, int, int] | None] = [None] * len(items)
+    fit = [i for i in range(len(items)) if len(regions[i]) >= len(items[i])]
+    fit.sort(key=lambda i: -len(items[i]))
+    for at in range(0, len(fit), TABLES):
+        _align(fit[at:at + TABLES], items, regions, budgets, out)
+    return out
+
+
+def _align(which: list[int], items: list[np.ndarray], regions: list[np.ndarray], budgets: list[int], out: list) -> None:
+    size = np.array([len(items[i]) for i in which])
+    width = np.array([len(regions[i]) for i in which]) - size
+    columns = int(width.max()) + 1
+    item = np.zeros((len(which), int(size[0])), np.uint32)
+    region = np.full((len(which), int(size[0]) + columns), _NOWHERE, np.uint32)
+    for row, i in enumerate(which):
+        item[row, :size[row]] = items[i]
+        region[row, :len(regions[i])] = regions[i]
     big = 1 << 20
-    span = np.arange(width + 1)
-    cost, start, up = np.zeros(width + 1, np.int64), span.copy(), np.full(width + 1, big)
-    for i in range(n):
+    span = np.arange(columns)
+    outside = span > width[:, None]
+    # cost above, start below
+    packed = np.where(outside, big << 32, 0) + span
+    up = np.full(packed.shape, big << 32)
+    for i in range(int(size[0])):
+        a = int(np.searchsorted(-size, -i, side="left"))  # tables that have a row i
+        now = packed[:a]
         # same diagonal: match or change; next diagonal: a character of the item is missing
-        diag = cost + (region[i:i + width + 1] != item[i])
-        up[:-1] = cost[1:] + 1
-        begin = start.copy()
-        begin[:-1] = np.where(up[:-1] < diag[:-1], start[1:], start[:-1])
-        best = np.minimum(diag, up)
+        diag = now + ((region[:a, i:i + columns] != item[:a, i, None]).astype(np.int64) << 32)
+        up[:a, :-1] = now[:, 1:] + (1 << 32)
+        best = np.where(up[:a] >> 32 < diag >> 32, up[:a], diag)
         # characters added in the region: running minimum along the row
-        packed = np.minimum.accumulate(((best - span) << 32) | begin)
-        cost, start = (packed >> 32) + span, packed & 0xFFFFFFFF
-    e = int(np.argmin(cost))
-    return (int(cost[e]), int(start[e]), n + e) if cost[e] <= k else None
+        best = np.minimum.accumulate(best - (span << 32), axis=1) + (span << 32)
+        best[outside[:a]] = big << 32
+        packed[:a] = best
+    cost = packed >> 32
+    e = cost.argmin(1)
+    for row, i in enumerate(which):
+        c = int(cost[row, e[row]])
+        if c <= budgets[i]:
+            out[i] = (c, int(packed[row, e[row]] & 0xFFFFFFFF), int(size[row] + e[row]))
 
 
 class Passages:
@@ -169,7 +200,6 @@ class Passages:
         return [(d, n, low + int(s), low + int(s) + len(c), 0) for s in np.flatnonzero(same)]
 
     def _verify(self, bands: np.ndarray, code: np.ndarray, edge: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        best: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
         # Places of one passage lie 9 k apart or more, so a run of few bands holds one of them at most.
         runs: list[list[int]] = []
         for band in bands.tolist():
@@ -177,6 +207,7 @@ class Passages:
                 runs[-1][1] = band
             else:
                 runs.append([band, band])
+        places, items, regions, budgets = [], [], [], []
         for band, until in runs:
             n, b, c = band >> 40, band & ((1 << 40) - 1), until & ((1 << 40) - 1)
             k, step, size = int(self.k[n]), int(self.step[n]), int(self.size[n])
@@ -189,18 +220,23 @@ class Passages:
                 if hi - lo < size - k:
                     continue
                 # room for edits at the ends of a text; it matches nothing
-                room = np.full(k, 0xFFFFFFFF, np.uint32)
-                found = align(self.items[n][1], np.concatenate([room, code[lo:hi], room]), k)
-                if not found:
-                    continue
-                edits, s, e = found
-                s, e = max(lo, s - k + lo), min(e - k + lo, hi)
-                seen = best.setdefault((d, n), [])
-                if seen and s < seen[-1][3]:
-                    if edits < seen[-1][4]:
-                        seen[-1] = (d, n, s, e, edits)
-                elif e > s:
-                    seen.append((d, n, s, e, edits))
+                room = np.full(k, _NOWHERE, np.uint32)
+                places.append((d, n, lo, hi))
+                items.append(self.items[n][1])
+                regions.append(np.concatenate([room, code[lo:hi], room]))
+                budgets.append(k)
+        best: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
+        for (d, n, lo, hi), k, found in zip(places, budgets, align(items, regions, budgets)):
+            if not found:
+                continue
+            edits, s, e = found
+            s, e = max(lo, s - k + lo), min(e - k + lo, hi)
+            seen = best.setdefault((d, n), [])
+            if seen and s < seen[-1][3]:
+                if edits < seen[-1][4]:
+                    seen[-1] = (d, n, s, e, edits)
+            elif e > s:
+                seen.append((d, n, s, e, edits))
         return [x for found in best.values() for x in found]
 
 
@@ -221,16 +257,22 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "
     items = (benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
              .where("i is not null and length(t) > 0").distinct())
     chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
+    if not chars:
+        return docs.select(*[c for c in docs.columns if c != out], F.array().cast(SPAN).alias(out))
     blocks = -(-chars // BLOCK_CHARS)
-    out_parts: list[str] = []
-    made = docs
-    for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        rows = sorted((r["i"], r["t"]) for r in part.collect())  # one block: about BLOCK_CHARS characters
-        made = with_column(made, text, f"__{out}_{b}", _span_type(), _finder(spark, rows, q, rate))
-        out_parts.append(f"__{out}_{b}")
-    found = F.concat(*out_parts) if out_parts else F.array().cast(SPAN)
-    return made.select(*[c for c in docs.columns if c != out], found.alias(out))
+    made, names = docs, []
+    for first in range(0, blocks, HELD):
+        sent = []
+        for b in range(first, min(first + HELD, blocks)):
+            part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
+            rows = sorted((r["i"], r["t"]) for r in part.collect())  # one block: about BLOCK_CHARS characters
+            sent.append(spark.sparkContext.broadcast(pickle.dumps((rows, q, rate))))
+        name = out
+        while name in made.columns and name in [*docs.columns, *names]:
+            name += "_"
+        names.append(name)
+        made = with_column(made, text, name, _span_type(), _finder(sent))
+    return made.select(*[c for c in docs.columns if c != out], F.concat(*names).alias(out))
 
 
 def _span_type() -> T.ArrayType:
@@ -238,17 +280,22 @@ def _span_type() -> T.ArrayType:
                                      T.StructField("end", T.IntegerType()), T.StructField("edits", T.IntegerType())]))
 
 
-def _finder(spark, rows: list[tuple[int, str]], q: int, rate: float):
-    sent = spark.sparkContext.broadcast(pickle.dumps((rows, q, rate)))
-    key = sent._jbroadcast.id()
+def _finder(sent: list):
+    keys = [b._jbroadcast.id() for b in sent]
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
                                ("edits", pa.int32())]))
 
     def run(texts: pa.StringArray) -> pa.Array:
-        if key not in _workers:
-            _workers.clear()
-            _workers[key] = Passages(*pickle.loads(sent.value))
         names = ("item_id", "start", "end", "edits")
-        return pa.array([[dict(zip(names, s)) for s in spans] for spans in _workers[key].find(texts.to_pylist())], kind)
+        lists = texts.to_pylist()
+        found: list[list[dict]] = [[] for _ in lists]
+        for key, block in zip(keys, sent):  # each text comes here once for all of them
+            if key not in _workers:
+                if len(_workers) >= HELD:
+                    _workers.clear()
+                _workers[key] = Passages(*pickle.loads(block.value))
+            for mine, spans in zip(found, _workers[key].find(lists)):
+                mine += [dict(zip(names, s)) for s in spans]
+        return pa.array(found, kind)
 
     return run

@@ -18,7 +18,8 @@ of the wanted similarity share at least ``1 + s`` shingles among the first
    extended prefixes: one walk for all sets of the list shares the overlaps with
    common beginnings and leaves a subtree when what remains of both sets can't
    reach the similarity. Very long lists are dealt out as pairs of blocks;
-6. what the trie leaves possible is verified on the whole sets.
+6. a pair whose parity bits differ in more places than its sets may is left out,
+   and what is still possible is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeweave.llm.common import components, saved
-from tapeweave.llm.shingles import shingle_sets, signature
+from tapeweave.llm.shingles import mix, shingle_sets, signature
 
+BITS = 1024  # of a set that tell how much two sets differ at least
+SMALL = 2_000_000  # frequent shingles that are broadcast at most
 FREQUENT = 64  # a shingle with more representatives makes no list of its own, see 3.
 BLOCK = 192  # sets of a list that meet in one task, from each side
 
@@ -47,24 +50,46 @@ def slack(n, num: int, den: int):
 
 
 def _sets(docs: DataFrame, words: int, num: int, den: int, whole: bool) -> DataFrame:
-    """``doc``, size ``n``, signature ``s1``, ``s2`` and ordered ``shingles``: all, or the extended prefix."""
+    """``doc``, size ``n``, signature ``s1``, ``s2`` and ordered ``shingles``: those of the extended prefix, or all.
+
+    With all come ``begin``, the extended prefix in 32 bits each (in the same order;
+    two that are cut to one number only make an overlap look larger), and ``bits``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, s1, s2, out = [], [], [], []
+            n, s1, s2, out, begin, bits = [], [], [], [], [], []
             for v in shingle_sets(batch.column(1).to_pylist(), words):
                 n.append(len(v))
                 a, b = signature(v)
                 s1.append(a)
                 s2.append(b)
-                out.append(v if whole else v[:prefix(len(v), num, den) + slack(len(v), num, den)])
-            offsets = pa.array(np.cumsum([0, *map(len, out)]).astype(np.int32))
-            values = pa.array(np.concatenate([*out, np.zeros(0, np.int64)]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.ListArray.from_arrays(offsets, values)], ["doc", "n", "s1", "s2", "shingles"])
+                extended = v[:prefix(len(v), num, den) + slack(len(v), num, den)]
+                out.append(v if whole else extended)
+                if whole:
+                    begin.append((extended >> 32).astype(np.int32))
+                    bits.append(parity(v))
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), _lists(out, np.int64)]
+            if whole:
+                columns += [_lists(begin, np.int32), _lists(bits, np.int64)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "s1", "s2", "shingles", "begin", "bits"][:len(columns)])
+
+    more = ", begin array<int>, bits array<long>" if whole else ""
+    return docs.mapInArrow(run, f"doc long, n long, s1 long, s2 long, shingles array<long>{more}")
+
+
+def _lists(rows: list[np.ndarray], kind: type) -> pa.ListArray:
+    offsets = pa.array(np.cumsum([0, *map(len, rows)]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.zeros(0, kind)])))
+
+
+def parity(values: np.ndarray) -> np.ndarray:
+    """``BITS`` bits of a set: whether an even or odd number of its elements falls on each.
 
-    return docs.mapInArrow(run, "doc long, n long, s1 long, s2 long, shingles array<long>")
+    Sets that differ in d elements differ in at most d bits.
+    """
+    at = (mix(values.view(np.uint64), 0x7B1) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
 
 
 def _required(a, b, num: int, den: int):
@@ -190,12 +215,15 @@ class Trie:
 def _walk(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of each list (rows sorted by ``key``) that may be similar; side 0 meets side 1 in a pair of blocks."""
 
-    def links(docs: np.ndarray, component: np.ndarray, side: np.ndarray, size: np.ndarray, sets: list[np.ndarray]) -> tuple[list, list]:
+    def links(docs: np.ndarray, component: np.ndarray, side: np.ndarray, size: np.ndarray, sets: list[np.ndarray],
+              bits: np.ndarray) -> tuple[list, list]:
         sides = (side == 1).any() and (side == 0).any()
         trie = Trie(sets, size, num, den)
         x, y = [], []
         for one, others in trie.similar(side == 1, side == 0) if sides else trie.similar():
             others = others[component[others] != component[one]]
+            differ = np.bitwise_count(bits[others] ^ bits[one]).sum(1, dtype=np.int64)
+            others = others[differ <= size[others] + size[one] - 2 * _required(size[others], size[one], num, den)]
             x += [docs[others]]
             y += [np.full(len(others), docs[one])]
         return x, y
@@ -217,18 +245,49 @@ def _walk(rows: DataFrame, num: int, den: int) -> DataFrame:
     def lists(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key, docs, component, side, size = (batch.column(i).to_numpy() for i in range(5))
         off, val = batch.column(5).offsets.to_numpy(), batch.column(5).values.to_numpy()
+        places = batch.column(6).offsets.to_numpy()
+        bits = batch.column(6).values.to_numpy()[places[0]:places[-1]].view(np.uint64).reshape(batch.num_rows, -1)
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         x, y = [], []
         for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
             sets = [val[off[i]:off[i + 1]] for i in range(a, b)]
-            for out, more in zip((x, y), links(docs[a:b], component[a:b], side[a:b], size[a:b], sets)):
+            for out, more in zip((x, y), links(docs[a:b], component[a:b], side[a:b], size[a:b], sets, bits[a:b])):
                 out += more
-        if x:
+        if sum(map(len, x)):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()), pa.array(np.concatenate(y), pa.int64())], ["x", "y"])
 
     return rows.mapInArrow(run, "x long, y long")
 
 
+def _rarest(sets: DataFrame, often: DataFrame, num: int, den: int) -> DataFrame:
+    """``doc`` and each ``shingle`` of its prefix when the rarest come first, then by hash; those not in ``often`` are rarest."""
+    if often.limit(SMALL + 1).count() > SMALL:
+        p = f"(n - ({num} * n + {den} - 1) div {den} + 1)"
+        return (sets.select("doc", "n", "s1", "s2", F.explode("shingles").alias("shingle")).join(often, "shingle", "left")
+                .groupBy("doc", "n", "s1", "s2")
+                .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "shingle"))).alias("all"))
+                .select("doc", F.explode(_int(f"slice(all, 1, cast({p} as int))")).alias("t")).select("doc", "t.shingle"))
+    known = often.orderBy("shingle").toPandas()
+    sent = sets.sparkSession.sparkContext.broadcast((known["shingle"].to_numpy(np.int64), known["f"].to_numpy(np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = sent.value
+        for batch in batches:
+            off, val = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy()
+            f = np.zeros(len(val), np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, val), len(keys) - 1)
+                f = np.where(keys[at] == val, counts[at], 0)
+            docs, out = batch.column(0).to_numpy(), []
+            for a, b in zip(off[:-1], off[1:]):
+                first = np.argsort(f[a:b], kind="stable")[:prefix(int(b - a), num, den)]  # equal counts stay in the order of hashes
+                out.append(val[a:b][first])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(docs, [len(x) for x in out])),
+                                              pa.array(np.concatenate([*out, np.zeros(0, np.int64)]))], ["doc", "shingle"])
+
+    return sets.select("doc", "shingles").mapInArrow(run, "doc long, shingle long")
+
+
 def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,
             den: int = 100, frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: ``doc``, ``n_shingles`` and ``component_id``.
@@ -265,29 +324,28 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     wanted = hopeful.select(F.col("rep").alias("doc")).distinct()
     whole = _sets(docs.join(wanted, "doc", "left_semi"), words, num, den, whole=True).where("n > 0")
     if repeats:  # each set of an id once
-        whole = whole.groupBy("doc", "n", "s1", "s2").agg(F.first("shingles").alias("shingles"))
+        whole = whole.groupBy("doc", "n", "s1", "s2").agg(*[F.first(c).alias(c) for c in ("shingles", "begin", "bits")])
     whole = saved(whole, "shingle-sets")
     # 3. lists
     plain = (shared.where(F.col("f") <= frequent).join(hopeful.select("rep", "n"), ["rep", "n"], "left_semi")
              .select(F.lit(0).alias("kind"), "shingle", F.col("rep").alias("doc")))
     hot = hopeful.where("hot").select(F.col("rep").alias("doc")).distinct()
-    often = shared.where(F.col("f") > frequent).groupBy("shingle").agg(F.first("f").alias("f"))
-    ranked = (whole.join(hot, "doc", "left_semi").select("doc", "n", "s1", "s2", F.explode("shingles").alias("shingle"))
-              .join(often, "shingle", "left")
-              .groupBy("doc", "n", "s1", "s2").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"),
-                                                                           "shingle"))).alias("all"))
-              .select("doc", F.explode(_int(f"slice(all, 1, cast({p} as int))")).alias("t"))
-              .select(F.lit(1).alias("kind"), "t.shingle", "doc"))
+    often = saved(shared.where(F.col("f") > frequent).groupBy("shingle").agg(F.first("f").alias("f")), "frequent-shingles")
+    ranked = (_rarest(whole.join(hot, "doc", "left_semi"), often, num, den)
+              .select(F.lit(1).alias("kind"), "shingle", "doc"))
     lists = saved(plain.unionByName(ranked).distinct(), "shingle-lists")
     # 4. each set with the smallest document of its lists
     leads = lists.groupBy("kind", "shingle").agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("m"))
     leads = saved(leads.where("m > 1"), "list-leads")
-    sizes = whole.select("doc", "n").distinct()
+    sizes = whole.select("doc", "n", "bits").distinct()
+    differ = "aggregate(zip_with(bx, bz, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b)"
+    least_both = f"(({num} * (nx + ny) + {num + den - 1}) div {num + den})"
     star = (lists.join(leads, ["kind", "shingle"]).where("doc <> lead")
             .select(F.col("doc").alias("x"), F.col("lead").alias("y")).distinct()
-            .join(sizes.select(F.col("doc").alias("x"), F.col("n").alias("nx")), "x")
-            .join(sizes.select(F.col("doc").alias("y"), F.col("n").alias("ny")), "y")
-            .where(f"{den} * least(nx, ny) >= {num} * greatest(nx, ny)").select("x", "y").distinct())
+            .join(sizes.select(F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bx")), "x")
+            .join(sizes.select(F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("bz")), "y")
+            .where(f"{den} * least(nx, ny) >= {num} * greatest(nx, ny)")
+            .where(f"{differ} <= nx + ny - 2 * {least_both}").select("x", "y").distinct())
     links = saved(_verify(star, whole, num, den), "links")
     if repeats:
         own = (sets.join(repeated.where("several").select("doc"), "doc", "left_semi").where("n > 0")
@@ -314,8 +372,7 @@ def cluster(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
             .withColumn("side", F.expr("cast(part > other as int)"))
             .select(F.xxhash64("kind", "shingle", F.least("part", "other"), F.greatest("part", "other")).alias("key"),
                     "doc", "component", "side"))
-    begin = whole.select("doc", "n", F.slice("shingles", F.lit(1), _int(f"cast({p} + {p} div 2 as int)")).alias("shingles"))
-    rows = rows.join(begin, "doc").select("key", "doc", "component", "side", "n", "shingles")
+    rows = rows.join(whole.select("doc", "n", "begin", "bits"), "doc").select("key", "doc", "component", "side", "n", "begin", "bits")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     maybe = saved(_walk(rows.repartition(n, "key").sortWithinPartitions("key", "side", "doc"), num, den)
                   .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")

@@ -35,6 +35,7 @@ MAGIC = b"TWPLANE1"
 BLOCK = 1 << 16
 LEVEL = 3
 _NULL_ID = -(1 << 63)
+_CLOSING = ".,;:!?"
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -141,7 +142,14 @@ _workers: dict[str, WordEncoder] = {}
 
 
 def _library_encoder(source: str) -> WordEncoder:
-    """Words through the tokenizers library, each distinct one once as long as it is remembered."""
+    """Words through the tokenizers library, each distinct one once as long as it is remembered.
+
+    A word without white space inside is a text of its own for the tokenizer,
+    so many go to the library as one text, a newline between them: that is an id
+    which no such word has, and the words' ids lie between two of them. Closing
+    punctuation is cut off before, as the tokenizer does, so that a word is
+    encoded once whatever follows it.
+    """
     key = str(hash(source))
     if key not in _workers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -151,10 +159,36 @@ def _library_encoder(source: str) -> WordEncoder:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
+        def library(texts: list[str]) -> list[np.ndarray]:
+            return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        spec = json.loads(source)
+        before = spec["pre_tokenizer"] or {}
+        bytewise = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec["normalizer"]
+        newline, = library(["\n"])
+        newline = int(newline[0]) if bytewise and len(newline) == 1 else None  # other tokenizers take words one by one
+
+        def together(words: list[str]) -> list[bytes]:
+            out: list[bytes] = []
+            for i in range(0, len(words), 4096):
+                ids, = library(["\n".join(words[i:i + 4096])])
+                at = np.flatnonzero(ids == newline)
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)])]
+            if len(out) != len(words):
+                raise AssertionError("a word ran into the next one")
+            return out
+
         def fresh(words: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes()
-                    for i in range(0, len(words), 4096)
-                    for e in tokenizer.encode_batch(words[i:i + 4096], add_special_tokens=False)]
+            plain = [newline is not None and w[:1] == " " and len(w.split()) == 1 and w[1:].isprintable() and w[-1:] != " " for w in words]
+            cores = [w.rstrip(_CLOSING) if p else w for w, p in zip(words, plain)]
+            cores = [c if c[-1:].isalnum() else w for c, w in zip(cores, words)]
+            wanted = list({c for c, p in zip(cores, plain) if p} | {w[len(c):] for w, c, p in zip(words, cores, plain) if p and len(c) < len(w)})
+            known = dict(zip(wanted, together(wanted)))
+            rest = iter(x.tobytes() for i in range(0, len(words), 4096)
+                        for x in library([w for w, p in zip(words[i:i + 4096], plain[i:i + 4096]) if not p]))
+            return [(known[c] if len(c) == len(w) else known[c] + known[w[len(c):]]) if p else next(rest)
+                    for w, c, p in zip(words, cores, plain)]
 
         _workers.clear()
         _workers[key] = WordEncoder(fresh)
