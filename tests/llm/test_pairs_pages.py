@@ -43,7 +43,7 @@ def clustered(seed, n, dim=16):
 
 
 def brute_links(rows, threshold):
-    fine = [(i, np.array(v)) for i, v in rows
+    fine = [(i, np.array(v) / np.abs(v).max()) for i, v in rows
             if i is not None and v and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)]
     links = {i: 0 for i, _ in rows if i is not None}
     pairs = []
@@ -89,32 +89,59 @@ def test_forest_recall_and_no_link_counted_twice(spark):
     assert sum(r["n_links"] for r in got.values()) >= 0.9 * 2 * pairs > 1000
 
 
-def test_every_link_of_a_large_group_of_near_copies(spark):
+def checked(spark, data, least, **setting):
+    """Links of the forest against all pairs: none too many, a share of at least ``least``; returns both counts."""
+    got = forest.near_duplicates(vectors(spark, list(enumerate(data.tolist()))), threshold=0.9, **setting).collect()
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    found = np.zeros(len(data), np.int64)
+    for r in got:
+        found[r["vec_id"]] = r["n_links"]
+    assert (found <= want).all() and found.sum() >= least * want.sum()
+    return found, want, {r["vec_id"]: r["component_id"] for r in got}
+
+
+@pytest.mark.parametrize("spread, block", [(0.0343, 150), (0.0343, 4000), (0.012, 150), (0.024, 90)])
+def test_every_link_inside_a_large_group_of_near_copies(spark, spread, block):
+    """A third of the rows; the mean cosine of their pairs is about 0.93, 0.99 and 0.96."""
     rng = np.random.default_rng(5)
     n, dim = 2400, 64
     centre = rng.standard_normal(dim)
     centre /= np.linalg.norm(centre)
     data = rng.standard_normal((n, dim))
-    data[::3] = centre + rng.normal(0, 0.0343, (n // 3, dim))  # mean cosine of a pair about 0.93
+    data[::3] = centre + rng.normal(0, spread, (n // 3, dim))
     data[1::30] = data[2::30] + rng.normal(0, 0.3, (n // 30, dim))  # isolated pairs
-    got = forest.near_duplicates(vectors(spark, list(enumerate(data.tolist()))), threshold=0.9, leaf=60, block=150).collect()
-    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
-    linked = unit @ unit.T >= 0.9
-    want = linked.sum(1) - 1
-    assert want.sum() > 400_000
-    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(want.tolist()))
-    least = np.arange(n)
-    for _ in range(20):
-        least = np.where(linked, least[None, :], n).min(1)
-    assert {r["vec_id"]: r["component_id"] for r in got} == dict(enumerate(least.tolist()))
-
-
-def test_tree_parts_large_groups():
-    rng = np.random.default_rng(6)
-    data = np.repeat(rng.standard_normal((4, 32)), 1000, 0) + rng.normal(0, 0.03, (4000, 32))
+    found, want, component = checked(spark, data, 0.999, leaf=60, block=block)
+    assert want.sum() > 400_000 and (found[::3] == want[::3]).all()
+    assert {component[i] for i in range(0, n, 3) if want[i]} == {0}
+
+
+def test_several_groups_near_each_other(spark):
+    rng = np.random.default_rng(15)
+    base = rng.standard_normal(32)
+    data = np.concatenate([base / np.linalg.norm(base) + rng.normal(0, 0.06, 32) + rng.normal(0, 0.02, (300, 32)) for _ in range(4)]
+                          + [rng.standard_normal((900, 32))])
+    rng.shuffle(data)
+    checked(spark, data, 0.97, leaf=50, block=200)
+
+
+@pytest.mark.parametrize("n, leaf", [(2000, 100), (12000, 300)])
+def test_recall_and_work_by_table_size(n, leaf):
+    """Pairs at the threshold itself among vectors of all directions, and a third in one group of near copies."""
+    rng = np.random.default_rng(n)
+    data = rng.standard_normal((n, 64))
+    data[::3] = data[0] + rng.normal(0, 0.12, (len(data[::3]), 64))
     data /= np.linalg.norm(data, axis=1, keepdims=True)
-    rows, leaf = forest.leaves(forest.fit(data[::2], len(data), 0.9), data)
-    assert (np.bincount(leaf).astype(float) ** 2).sum() < 0.5 * len(data) ** 2
+    near = rng.standard_normal((n, 64))
+    near -= (near * data).sum(1, keepdims=True) * data
+    near = 0.9 * data + np.sqrt(1 - 0.81) * near / np.linalg.norm(near, axis=1, keepdims=True)
+    made = forest.fit(data[:forest.SAMPLE], n, 0.9, leaf)
+    met = np.zeros(n, bool)
+    for nodes in made.trees:
+        met |= forest._together(nodes, data, near)
+    assert made.leaves > 10 and len(made.centres) == 1
+    assert met.mean() >= 0.98
+    assert forest.work(made, data, 0.9) < 0.75
 
 
 def test_forest_of_an_empty_table(spark):
