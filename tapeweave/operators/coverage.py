@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeweave.functions.time import MICROS_PER_MS, instant, iso, micros_of, naive_utc
+from tapeweave.functions.time import MICROS_PER_MS, UNIT_MICROS, bucket_start, instant, iso, micros_of, naive_utc
 from tapeweave.operators.ranges import chunk_index, filter_range, with_chunks
 from tapeweave.schema import SERIES
 
@@ -89,11 +89,12 @@ def _granularities(period_types: list[str] | None) -> list[str]:
     return names
 
 
-def _rung_of(rungs: list[tuple[str, datetime, datetime]]) -> Column:
+def _rung_of(rungs: list[tuple[str, datetime, datetime]], at: Column | None = None) -> Column:
     """The rung whose window holds the bar. Windows of one granularity never overlap."""
+    at = F.col("timestamp") if at is None else at
     rung = F.lit(None).cast("string")
     for label, start, end in rungs:
-        rung = F.when(F.col("timestamp").between(instant(start), instant(end)), label).otherwise(rung)
+        rung = F.when(at.between(instant(start), instant(end)), label).otherwise(rung)
     return rung
 
 
@@ -143,6 +144,41 @@ def probe_results(tables: dict[str, DataFrame], contracts: DataFrame, now: datet
     return out
 
 
+def probe_ticks(ticks: DataFrame, contracts: DataFrame, now: datetime | str, stream: str = "last",
+                period_types: list[str] | None = None) -> DataFrame:
+    """``probe_results`` of ticks and the minute and day bars they make, in one scan of the ticks.
+
+    A bar is there when its bucket has a tick, so each tick in reach of a window
+    stands for its tick, its minute and its day; bars are the distinct buckets.
+    """
+    now = naive_utc(now)
+    widths = {"Tick": 0, "Minute": UNIT_MICROS["Minute"], "Day": UNIT_MICROS["Day"]}
+    names = _granularities(period_types)
+    reach, seen = F.lit(False), []
+    for name in names:
+        rungs = _ladder(now, name)
+        width = widths[GRANULARITIES[name][0]]
+        at = F.timestamp_micros(bucket_start(F.unix_micros("timestamp"), width)) if width else F.col("timestamp")
+        # a bucket that begins in a window ends a width behind it at most
+        reach = reach | _in_rungs([(label, start, end + timedelta(microseconds=width)) for label, start, end in rungs])
+        seen.append(F.struct(F.lit(name).alias("granularity"), _rung_of(rungs, at).alias("lookback"), at.alias("at")))
+    rows = (ticks.filter(F.col("price_type") == stream).filter(reach)
+            .select("symbol", "contract", F.inline(F.filter(F.array(*seen), lambda x: x["lookback"].isNotNull()))))
+    ends = [F.min("at").alias("first_bar"), F.max("at").alias("last_bar")]
+    buckets = (rows.filter(F.col("granularity") != "Tick1").groupBy("symbol", "contract", "granularity", "lookback", "at").count()
+               .groupBy("symbol", "contract", "granularity", "lookback").agg(F.count(F.lit(1)).alias("bars"), *ends))
+    single = (rows.filter(F.col("granularity") == "Tick1").groupBy("symbol", "contract", "granularity", "lookback")
+              .agg(F.count(F.lit(1)).alias("bars"), *ends))
+    counted = buckets.unionByName(single)
+    listed = F.array(*[F.struct(F.lit(name).alias("granularity"), F.lit(GRANULARITIES[name][0]).alias("period_type"),
+                                F.lit(i).cast("bigint").alias("rung"), F.lit(label).alias("lookback"), instant(start).alias("probe_start"))
+                       for name in names for i, (label, start, _) in enumerate(_ladder(now, name))])
+    return (contracts.select("symbol", "contract", F.inline(listed))
+            .join(counted, ["symbol", "contract", "granularity", "lookback"], "left")
+            .select("symbol", "contract", "granularity", "period_type", "rung", "lookback", "probe_start",
+                    F.coalesce("bars", F.lit(0).cast("bigint")).alias("bars"), "first_bar", "last_bar"))
+
+
 def probe_availability(results: DataFrame) -> DataFrame:
     """Roll the probe up: how far back each granularity of a contract reaches."""
     return (results.groupBy("symbol", "contract", "granularity", "period_type")

@@ -165,3 +165,16 @@ def test_contract_steps(spark):
     contracts = catalog(spark, "2024-03-15", "2024-06-21", "2024-09-20")
     got = oi.contract_steps(contracts, contracts.filter("contract like '%03-15'")).first()
     assert (got["contracts_processed"], got["contracts_skipped"]) == (1, 2)
+
+
+@pytest.mark.parametrize("now", [datetime(2024, 2, 1), datetime(2024, 1, 20, 7, 30, 15)])
+def test_probe_of_ticks_equals_the_probe_of_their_bars(spark, sf_dir, now):
+    ticks, contracts = fx.ticks(spark, sf_dir), fx.instruments(spark, sf_dir).filter("instrument_type = 'Future'")
+    tables = {"ticks": ticks, "minutes": resample(ticks, "Minute", 1), "days": resample(ticks, "Day", 1)}
+    for kinds in (None, ["Day", "Tick"]):
+        want = ov.probe_results(tables, contracts, now, period_types=kinds)
+        got = ov.probe_ticks(ticks, contracts, now, period_types=kinds)
+        assert rows_of(got, *want.columns) == rows_of(want, *want.columns)
+    assert want.filter("bars > 0").count() > 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 4
