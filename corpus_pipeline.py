@@ -50,7 +50,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether they decode to it (a null text counts as an empty one)."""
     path = public_tokenizers.path(TOKENIZER)
-    out = bpe.decode(bpe.encode(docs, path, out="ids"), path, ids="ids", out="decoded")
+    out = bpe.encode(docs, path, out="ids", decoded="decoded")
     return out.select(*[c for c in docs.columns if c not in ("ids", "decoded")], "ids",
                       F.size("ids").cast("long").alias("n_tokens"),
                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
