@@ -29,12 +29,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeweave.llm.common import saved, with_column
+from tapeweave.llm.common import ROWS, saved, with_column
 from tapeweave.session import workspace
 
 LEXICON_WORDS = 65_536  # bounds the automaton; a word outside is merged, never dropped
-MEMO_WORDS = 200_000  # words of each of the two generations that a worker keeps
-MEMO_PIECES = 200_000  # and pieces of words
+MEMO_WORDS = 100_000  # words of each of the two generations that a worker keeps
+MEMO_PIECES = 100_000  # and pieces of words
 LONG_WORD = 64  # longer words are neither counted nor kept
 DECODE_IDS = 1 << 18  # ids that are decoded in one step
 FLUSH_WORDS = 400_000  # distinct words that a counting task holds at once
@@ -48,7 +48,11 @@ _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 def words_of(text: str) -> list[str]:
     """The words of a text, each but the first without the space before it."""
-    return _SAFE.split(text) if _BESIDE.search(text) else text.split(" ")
+    if text.replace("\n", "").isprintable():  # its white space is spaces and newlines
+        beside = "  " in text or " \n" in text or "\n " in text or text[-1:] == " "
+    else:
+        beside = _BESIDE.search(text)
+    return _SAFE.split(text) if beside else text.split(" ")
 
 
 class Vocabulary:
@@ -373,8 +377,8 @@ class WordEncoder:
     first word of a text, which has no space before it, is a key of its own kind.
     """
 
-    def __init__(self, fresh: Callable[[list[str]], list[bytes]]):
-        self.fresh, self.memo, self.older = fresh, {}, {}
+    def __init__(self, fresh: Callable[[list[str]], list[bytes]], vocabulary: Vocabulary | None = None):
+        self.fresh, self.vocabulary, self.memo, self.older = fresh, vocabulary, {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -400,6 +404,13 @@ class WordEncoder:
         return out
 
 
+    def forget(self) -> None:
+        """Give back the memory of the memos, as a worker does when its task ends."""
+        self.memo, self.older = {}, {}
+        if self.vocabulary:
+            self.vocabulary.known, self.vocabulary.pieces, self.vocabulary.older_pieces = {}, {}, {}
+
+
 _workers: dict[str, WordEncoder] = {}
 
 
@@ -414,7 +425,7 @@ def lexicon_encoder(source: str, lexicon: str) -> WordEncoder:
             return [known.ids_of(k) if k >= 0 else next(unseen) for k in number]
 
         _workers.clear()
-        _workers[lexicon] = WordEncoder(fresh)
+        _workers[lexicon] = WordEncoder(fresh, vocabulary)
     return _workers[lexicon]
 
 
@@ -484,26 +495,65 @@ def build_lexicon(docs: DataFrame, source: str, text: str = "text", words: int =
     return name
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids", lexicon: str | None = None) -> DataFrame:
+class _Decoder:
+    """Texts of ids by one gather from the bytes of all tokens."""
+
+    def __init__(self, known: dict[int, bytes]):
+        table = [known.get(i, b"") for i in range(max(known, default=-1) + 1)] + [b""]  # the last one for ids it lacks
+        self.flat = np.frombuffer(b"".join(table), np.uint8)
+        self.size = np.array([len(b) for b in table], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def texts(self, values: np.ndarray, offsets: np.ndarray) -> list[str]:
+        out: list[str] = []
+        a, count = 0, len(offsets) - 1
+        while a < count:  # some documents at a time, of about DECODE_IDS ids
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + DECODE_IDS, side="right")) - 1)
+            ids = np.nan_to_num(values[offsets[a]:offsets[b]], nan=-1).astype(np.int64)
+            ids[(ids < 0) | (ids >= len(self.size))] = len(self.size) - 1
+            n = self.size[ids]
+            end = np.cumsum(n)
+            data = self.flat[np.repeat(self.start[ids] - (end - n), n) + np.arange(n.sum())].tobytes()
+            cut = np.r_[0, end][offsets[a:b + 1] - offsets[a]].tolist()
+            out += [data[x:y].decode("utf-8", "replace") for x, y in zip(cut, cut[1:])]
+            a = b
+        return out
+
+
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids", lexicon: str | None = None,
+           decoded: str | None = None) -> DataFrame:
     """``docs`` with the token ids (array of int) of each whole text in ``out``, behind its columns.
 
     The ids are those of the tokenizer library for the tokenizer file's path
     ``tokenizer``, without added special tokens. A null or empty text has no
-    ids; every row stays. A column named ``out`` is replaced.
+    ids; every row stays. ``decoded`` names a column for what the ids decode to,
+    as ``decode`` would give it, in the same pass. Columns of these names are
+    replaced.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         source = f.read()
     lexicon = lexicon or build_lexicon(docs, source, text)
     sent = spark.sparkContext.broadcast(source)  # the vocabulary file: a fixed size
-
-    def run(texts: pa.StringArray) -> pa.Array:
-        encoder = lexicon_encoder(sent.value, lexicon)
-        data = [b for g in groups(texts.to_pylist()) for b in encoder.encode(g)]
-        offsets = np.cumsum([0, *(len(b) // 4 for b in data)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(data), "<i4")))
-
-    return with_column(docs, text, out, T.ArrayType(T.IntegerType()), run)
+    keep = [c for c in docs.columns if c not in (out, decoded)]
+    made = [T.StructField(out, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = lexicon_encoder(sent.value, lexicon), None
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            data = [b for g in groups(texts) for b in encoder.encode(g)]
+            offsets = np.cumsum([0, *(len(b) // 4 for b in data)])
+            ids = np.frombuffer(b"".join(data), "<i4")
+            columns = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+            if decoded:
+                decoder = decoder or _Decoder(encoder.vocabulary.bytes)
+                columns.append(pa.array(decoder.texts(ids, offsets), pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), *columns], schema.names)
+        encoder.forget()
+
+    return docs.mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -513,26 +563,10 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decode
     nothing; bytes that are not UTF-8 become replacement characters.
     """
     with open(tokenizer, encoding="utf-8") as f:
-        known = Vocabulary(f.read()).bytes
-    table = [known.get(i, b"") for i in range(max(known, default=-1) + 1)] + [b""]  # the last one for ids it lacks
-    sent = docs.sparkSession.sparkContext.broadcast((b"".join(table), np.array([len(b) for b in table], np.int64)))
+        sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(f.read()).bytes)
 
     def run(rows: pa.ListArray) -> pa.Array:
-        flat, size = sent.value
-        flat, start = np.frombuffer(flat, np.uint8), np.cumsum(size) - size
-        values, offsets = rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy().astype(np.int64)
-        out: list[str] = []
-        a = 0
-        while a < len(rows):  # some documents at a time, of about DECODE_IDS ids
-            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + DECODE_IDS, side="right")) - 1)
-            ids = np.nan_to_num(values[offsets[a]:offsets[b]], nan=-1).astype(np.int64)
-            ids[(ids < 0) | (ids >= len(size))] = len(size) - 1
-            n = size[ids]
-            end = np.cumsum(n)
-            data = flat[np.repeat(start[ids] - (end - n), n) + np.arange(n.sum())].tobytes()
-            cut = np.r_[0, end][offsets[a:b + 1] - offsets[a]].tolist()
-            out += [data[x:y].decode("utf-8", "replace") for x, y in zip(cut, cut[1:])]
-            a = b
-        return pa.array(out, pa.string())
+        decoder = _Decoder(sent.value)
+        return pa.array(decoder.texts(rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy().astype(np.int64)), pa.string())
 
     return with_column(docs, ids, out, T.StringType(), run)

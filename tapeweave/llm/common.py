@@ -29,6 +29,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, dim: DataFrame, keys: list[str], n: str, total: int, hot: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``dim``, one row per key, whose ``n`` says how many of the ``total`` rows have it.
+
+    Keys of more than a ``hot``-th of all rows, fewer than ``hot``, are joined by broadcast, the others
+    by a shuffle in which no key holds more. Column ``n`` is dropped.
+    """
+    often = F.broadcast(dim.where(F.col(n) * hot > total).drop(n))
+    seldom = dim.where(F.col(n) * hot <= total).drop(n)
+    return rows.join(often, keys).unionByName(rows.join(often.select(*keys), keys, "left_anti").join(seldom, keys))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``edges`` (bigint columns ``a`` and ``b``).
 

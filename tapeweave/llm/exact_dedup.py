@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeweave.llm.common import saved
+from tapeweave.llm.common import join_counted, saved
 
 BLOCK = 1024
 HOT = 1000  # keys with more than a HOT-th of all rows are joined by broadcast; there are fewer than HOT
@@ -33,13 +33,6 @@ def _blocks(size: int) -> Column:
                   f" i -> substring(data, i * {size} + 1, {size}))")
 
 
-def _named(places: DataFrame, names: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """``places`` with the ``name`` of their keys; ``n`` of ``names`` is how many of the ``total`` places hold a key."""
-    often = F.broadcast(names.where(F.col("n") * HOT > total).drop("n"))
-    seldom = names.where(F.col("n") * HOT <= total).drop("n")
-    return places.join(often, keys).unionByName(places.join(often.select(*keys), keys, "left_anti").join(seldom, keys))
-
-
 def _block_names(texts: DataFrame, size: int, hashes: Callable[[Column, int], tuple[Column, Column]]) -> tuple[DataFrame, int]:
     """Number of each distinct block by its hashes, and the seed that tells all blocks apart."""
     seed = 0
@@ -78,7 +71,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", block: int
     seen = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("blocks")), F.lit(0)).alias("places"),
                     F.coalesce(F.max(F.size("blocks")), F.lit(0)).alias("longest")).first()
     places = rows.select("row", "doc", F.size("blocks").alias("size"), F.posexplode("blocks").alias("pos", "b"))
-    level = saved(_named(places.select("row", "doc", "size", "pos", "b.*"), names, ["h1", "h2"], seen["places"])
+    level = saved(join_counted(places.select("row", "doc", "size", "pos", "b.*"), names, ["h1", "h2"], "n", seen["places"], HOT)
                   .select("row", "doc", "size", "pos", "name"), "named-blocks")
     ends = level.where("size = 1").select("row", "doc", F.lit(0).alias("round"), "name")
     longest, total, turn = seen["longest"], seen["places"], 0
@@ -92,14 +85,14 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", block: int
         names = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("a", "b")
         names = saved(names.select("a", "b", "n", (F.monotonically_increasing_id() + 1).alias("name")), "pair-names")
         total = names.agg(F.sum("n")).first()[0]
-        level = saved(_named(pairs, names, ["a", "b"], total).select("row", "doc", "size", "pos", "name"), "named-pairs")
+        level = saved(join_counted(pairs, names, ["a", "b"], "n", total, HOT).select("row", "doc", "size", "pos", "name"), "named-pairs")
         ends = ends.unionByName(level.where("size = 1").select("row", "doc", F.lit(turn).alias("round"), "name"))
         longest = (longest + 1) // 2
     groups = (ends.groupBy("round", "name")
               .agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc", "row")).alias("top"))
               .select("round", "name", F.struct("group_size", "top").alias("g"), F.col("group_size").alias("n")))
     groups = saved(groups, "text-groups").withColumnRenamed("name", "last").withColumnRenamed("g", "name")
-    found = _named(ends.withColumnRenamed("name", "last").drop("doc"), groups, ["round", "last"], seen["rows"])
+    found = join_counted(ends.withColumnRenamed("name", "last").drop("doc"), groups, ["round", "last"], "n", seen["rows"], HOT)
     return (rows.select("row", "doc", "sha").join(found.select("row", F.col("name").alias("g")), "row")
             .select("row", "doc", F.lower(F.hex("sha")).alias("text_sha256"), F.col("g.top.doc").alias("keep"),
                     F.col("g.group_size").alias("group_size"), (F.col("row") == F.col("g.top.row")).alias("kept")))

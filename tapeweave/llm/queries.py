@@ -68,8 +68,8 @@ def op7_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(docs, path).select(
+    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded="decoded")
+    return docs.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

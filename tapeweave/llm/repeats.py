@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeweave.llm.anchors import Hashes, anchors
-from tapeweave.llm.common import saved
+from tapeweave.llm.common import join_counted, saved
 
 WINDOW = 200
 GRAM = 96
@@ -226,13 +226,15 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", window: in
     rows = _rows(docs, id, text)
     found = saved(_anchor_rows(rows.where(F.octet_length("text") >= window), window, gram), "anchors")
     stats = (found.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("g").alias("g1"), F.max("g").alias("g2"))
-             .where("c > 1").select("h", (F.col("g1") < F.col("g2")).alias("mixed")))
-    met = saved(found.join(stats, "h"), "repeated-anchors")
+             .where("c > 1").select("h", (F.col("g1") < F.col("g2")).alias("mixed"), "c"))
+    stats = saved(stats, "anchor-counts")
+    total = found.count()
+    met = saved(join_counted(found, stats, ["h"], "c", total), "repeated-anchors")
     classes = met.groupBy("h", "g").agg(F.count(F.lit(1)).alias("c"), F.first("mixed").alias("mixed"),
                                         F.min(F.struct("doc", "row", "place")).alias("one"))
     classes = saved(classes, "surroundings")
     start, n = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)
-    whole = (met.join(classes.where("c > 1").select("h", "g"), ["h", "g"])
+    whole = (join_counted(met, classes.where("c > 1").select("h", "g", "c"), ["h", "g"], "c", total)
              .select("doc", "row", start.alias("s"), (start + n + window - 1).alias("e")))
     mixed = classes.where("mixed").select("h", "g", "one.doc", "one.row", "one.place", (F.col("c") == 1).alias("open"))
     sizes = mixed.groupBy("h").agg(F.sum(F.shiftright("place", 8).bitwiseAND(255) + window).alias("size"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 19
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z

@@ -36,6 +36,8 @@ BLOCK = 1 << 16
 LEVEL = 3
 _NULL_ID = -(1 << 63)
 _CLOSING = ".,;:!?"
+TOGETHER = 512  # words that go to the library as one text
+MEMO_CORES = 100_000  # words without closing punctuation of each of the two generations that a worker keeps
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -146,9 +148,9 @@ def _library_encoder(source: str) -> WordEncoder:
 
     A word without white space inside is a text of its own for the tokenizer,
     so many go to the library as one text, a newline between them: that is an id
-    which no such word has, and the words' ids lie between two of them. Closing
-    punctuation is cut off before, as the tokenizer does, so that a word is
-    encoded once whatever follows it.
+    which no such word has, and the words' ids lie between two of them. Words with
+    single newlines inside are cut there, and closing punctuation is cut off, as
+    the tokenizer does, so that a word is encoded once whatever follows it.
     """
     key = str(hash(source))
     if key not in _workers:
@@ -170,8 +172,8 @@ def _library_encoder(source: str) -> WordEncoder:
 
         def together(words: list[str]) -> list[bytes]:
             out: list[bytes] = []
-            for i in range(0, len(words), 4096):
-                ids, = library(["\n".join(words[i:i + 4096])])
+            for i in range(0, len(words), TOGETHER):
+                ids, = library(["\n".join(words[i:i + TOGETHER])])
                 at = np.flatnonzero(ids == newline)
                 data = ids.tobytes()
                 out += [data[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)])]
@@ -179,16 +181,50 @@ def _library_encoder(source: str) -> WordEncoder:
                 raise AssertionError("a word ran into the next one")
             return out
 
+        between = b"" if newline is None else newline.to_bytes(4, "little")
+        known: dict[str, bytes] = {}
+        older: dict[str, bytes] = {}
+
+        def look_up(pieces: set[str]) -> None:
+            """All ``pieces`` are in ``known`` afterwards; like the words' memo it has two generations."""
+            nonlocal known, older
+            if len(known) > MEMO_CORES:
+                known, older = {}, known
+            new = pieces - known.keys()
+            back = new & older.keys()
+            for p in back:
+                known[p] = older[p]
+            new = list(new - back)
+            known.update(zip(new, together(new)))
+
+        def cut(word: str) -> list[str]:
+            """Pieces that are encoded on their own: line, closing punctuation, line, ...; none where the word is taken as it is."""
+            pieces: list[str] = []
+            for line in word[1:].split("\n"):
+                if not line or not line.isprintable() or " " in line:
+                    return []
+                line = line if pieces else " " + line
+                core = line.rstrip(_CLOSING)
+                pieces += [line, ""] if len(core) == len(line) or not core[-1:].isalnum() else [core, line[len(core):]]
+            return pieces
+
         def fresh(words: list[str]) -> list[bytes]:
-            plain = [newline is not None and w[:1] == " " and len(w.split()) == 1 and w[1:].isprintable() and w[-1:] != " " for w in words]
-            cores = [w.rstrip(_CLOSING) if p else w for w, p in zip(words, plain)]
-            cores = [c if c[-1:].isalnum() else w for c, w in zip(cores, words)]
-            wanted = list({c for c, p in zip(cores, plain) if p} | {w[len(c):] for w, c, p in zip(words, cores, plain) if p and len(c) < len(w)})
-            known = dict(zip(wanted, together(wanted)))
-            rest = iter(x.tobytes() for i in range(0, len(words), 4096)
-                        for x in library([w for w, p in zip(words[i:i + 4096], plain[i:i + 4096]) if not p]))
-            return [(known[c] if len(c) == len(w) else known[c] + known[w[len(c):]]) if p else next(rest)
-                    for w, c, p in zip(words, cores, plain)]
+            if newline is None:
+                return [x.tobytes() for i in range(0, len(words), TOGETHER) for x in library(words[i:i + TOGETHER])]
+            plain = {w for w in words if w[:1] == " " and w[1:].isalnum()}
+            parts = {w: cut(w) if w[:1] == " " else [] for w in words if w not in plain}
+            wanted = plain.union(*parts.values())
+            wanted.discard("")
+            look_up(wanted)
+            get = known.get
+            single = [w for w, pieces in parts.items() if not pieces]
+            ids = dict(zip(single, [x.tobytes() for i in range(0, len(single), TOGETHER) for x in library(single[i:i + TOGETHER])]))
+            for w, pieces in parts.items():
+                if len(pieces) == 2:
+                    ids[w] = known[pieces[0]] + get(pieces[1], b"")
+                elif pieces:
+                    ids[w] = between.join([known[a] + get(b, b"") for a, b in zip(pieces[::2], pieces[1::2])])
+            return [known[w] if w in plain else ids[w] for w in words]
 
         _workers.clear()
         _workers[key] = WordEncoder(fresh)

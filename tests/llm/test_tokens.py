@@ -40,6 +40,35 @@ def test_words_equal_library(library):
     assert [np.frombuffer(b, "<i4").tolist() for b in vocabulary.encode_words(words)] == [vocabulary.encode_word(w) for w in words]
 
 
+@pytest.mark.parametrize("kept", [3, 200_000])
+def test_encoders_equal_library_whatever_they_remember(library, monkeypatch, kept):
+    """Closing punctuation, special tokens and odd white space; memos that turn over all the time."""
+    monkeypatch.setattr(bpe, "MEMO_WORDS", kept)
+    monkeypatch.setattr(bpe, "MEMO_PIECES", kept)
+    rng = random.Random(8)
+    ends = ["", ".", ",", "!?", "...", "'s", "'", ")", "<|endoftext|>.", "é,", "1;", "\n", "\n\n", " ", "\xa0", "\u0301,", "²:", "Ⅷ."]
+    texts = odd_texts(9, 400) + [" ".join(rng.choice(["the", "Cat", "straße", "x1", "日本", "a<|endoftext|>b", "-", "\x1f"]) + rng.choice(ends)
+                                          for _ in range(rng.randrange(1, 30))) for _ in range(600)]
+    source = open(PATH, encoding="utf-8").read()
+    vocabulary = bpe.Vocabulary(source)
+    token_files._workers.clear()
+    for encoder in (bpe.WordEncoder(vocabulary.encode_words), token_files._library_encoder(source)):
+        for group in (texts[:300], texts[300:], texts[:600]):
+            assert [np.frombuffer(b, "<i4").tolist() for b in encoder.encode(group)] == \
+                [e.ids for e in library.encode_batch(group, add_special_tokens=False)]
+        assert len(encoder.memo) <= max(kept, 0) + 3000
+
+
+def test_decoding_in_small_steps(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "DECODE_IDS", 3)
+    lists = [(0, [100, 200, 300, 400, 500]), (1, None), (2, []), (3, [-5, 10 ** 6, 50256, None, 7]), (4, [220]), (5, [128, 129])]
+    whole = Tokenizer.from_file(PATH)
+    got = {r["k"]: r["decoded"] for r in bpe.decode(spark.createDataFrame(lists, "k int, ids array<int>").repartition(1), PATH).collect()}
+    for k, ids in lists:
+        known = [i for i in ids or [] if i is not None and 0 <= i < 50257]
+        assert got[k] == whole.decode(known, skip_special_tokens=False)
+
+
 def test_lexicon_is_minimal_and_exact(tmp_path):
     words = [b"step", b"steps", b"stepping", b"leap", b"leaps", b"leaping", b" \xc3\xa9", b"s", b"a" * 64]
     made = bpe.Lexicon.build(words, lambda w: list(w))
