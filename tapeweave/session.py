@@ -73,9 +73,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[sc.applicationId]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tapeweave/{spark.sparkContext.applicationId}"
+
+
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tapeweave/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_workspace(spark: SparkSession) -> bool:
+    """Delete all work tables of this application; frames that still read them stop working."""
+    return remove_path(spark, _own_folder(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
