@@ -272,17 +272,13 @@ def test_no_work_table_is_left(spark, store):
     assert store.rejects("minutes").count() == 3
 
 
-def test_work_tables_of_an_application_are_cleared(spark, tmp_path):
+def test_work_tables_of_an_application_are_cleared(spark, tmp_path, monkeypatch):
     import tapeweave.session as ses
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        ses.written(spark.range(3), "numbers")
-        (tmp_path / "tapeweave" / "another-application").mkdir()
-        assert ses.clear_workspace(spark) and not ses.clear_workspace(spark)
-        assert os.listdir(tmp_path / "tapeweave") == ["another-application"]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    monkeypatch.setattr(ses, "shared_dir", lambda _: str(tmp_path))
+    ses.written(spark.range(3), "numbers")
+    (tmp_path / "tapeweave" / "another-application").mkdir()
+    assert ses.clear_workspace(spark) and not ses.clear_workspace(spark)
+    assert os.listdir(tmp_path / "tapeweave") == ["another-application"]
 
 
 def test_the_zone_is_not_changed_silently(spark):
