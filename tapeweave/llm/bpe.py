@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeweave.llm.common import ROWS, saved, with_column
+from tapeweave.llm.common import give_back, pieces, saved, with_column
 from tapeweave.session import workspace
 
 LEXICON_WORDS = 65_536  # bounds the automaton; a word outside is merged, never dropped
@@ -448,7 +448,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()  # words behind a space, without it
         first: Counter = Counter()
-        for batch in batches:
+        for batch in pieces(batches):
             for t in batch.column(0).to_pylist():
                 if t:
                     p = words_of(t)
@@ -461,6 +461,9 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     first.clear()
         if seen or first:
             yield _counted(seen, first)
+        seen.clear()
+        first.clear()
+        give_back()
 
     return (docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
@@ -541,7 +544,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = lexicon_encoder(sent.value, lexicon), None
-        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+        for batch in pieces(batches):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             data = [b for g in groups(texts) for b in encoder.encode(g)]
             offsets = np.cumsum([0, *(len(b) // 4 for b in data)])
@@ -552,6 +555,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids"
                 columns.append(pa.array(decoder.texts(ids, offsets), pa.string()))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), *columns], schema.names)
         encoder.forget()
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,6 +19,22 @@ ROWS = 1000  # that a task makes a column for in one step
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a Python worker lives on after its task and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Record batches of at most ``rows`` rows; memory is given back behind the last one."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+    give_back()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -83,7 +101,7 @@ def with_column(df: DataFrame, source: str, out: str, kind: T.DataType, run: Cal
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, kind)])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+        for batch in pieces(batches):
             made = run(batch.column(batch.schema.get_field_index(source)))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), made],
                                              [*keep, out])

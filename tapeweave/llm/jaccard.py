@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeweave.llm.common import components, saved
+from tapeweave.llm.common import components, give_back, pieces, saved
 from tapeweave.llm.shingles import mix, shingle_sets, signature
 
 BITS = 1024  # of a set that tell how much two sets differ at least
@@ -57,7 +57,7 @@ def _sets(docs: DataFrame, words: int, num: int, den: int, whole: bool) -> DataF
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             n, s1, s2, out, begin, bits = [], [], [], [], [], []
             for v in shingle_sets(batch.column(1).to_pylist(), words):
                 n.append(len(v))
@@ -107,7 +107,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     right = sets.select(F.col("doc").alias("y"), F.col("shingles").alias("sy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             a, b = batch.column(2), batch.column(3)
             ao, bo = a.offsets.to_numpy(), b.offsets.to_numpy()
@@ -241,6 +241,7 @@ def _walk(rows: DataFrame, num: int, den: int) -> DataFrame:
                 yield from lists(batch.slice(0, cut))
         if rest is not None and rest.num_rows:
             yield from lists(rest)
+        give_back()
 
     def lists(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key, docs, component, side, size = (batch.column(i).to_numpy() for i in range(5))
