@@ -12,7 +12,7 @@ from tapeweave.functions.time import naive_utc
 from tapeweave.operators.bars import in_range, normalize
 from tapeweave.operators.catalog import bars_of_contracts, for_root, prune_contracts
 from tapeweave.operators.inspect import contract_steps, with_final
-from tapeweave.operators.ranges import filter_range, resolve_range
+from tapeweave.operators.ranges import resolve_range
 from tapeweave.schema import TIMEFRAMES, check_timeframe
 from tapeweave.session import remove_path, workspace, written
 from tapeweave.sources.ledger import unfinished
@@ -83,7 +83,7 @@ def export_series(store: BarStore, catalog: DataFrame, raw: DataFrame, symbol: s
                                    replace=replace and n == 0, completed_at=naive_utc(now)))
     series = store.read(timeframe, symbol)
     outputs, done = {}, {}
-    exported = filter_range(series, *request.instants(tz)) if range_only else series
+    exported = store.read(timeframe, symbol, *request.instants(tz)) if range_only else series
     wanted = [f for f in ("csv", "parquet") if f in formats]
     if wanted and store.has_bars(timeframe, symbol):
         # several formats are written from one evaluation of the series

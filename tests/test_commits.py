@@ -241,6 +241,22 @@ def test_checkpoints_change_nothing_and_start_new_readers(spark, store):
     assert BarStore(spark, store.path).read("minutes").count() == len(before) + 3
 
 
+def test_a_commit_deleted_while_it_is_read_is_looked_for_again(spark, store, monkeypatch):
+    for d in (3, 4, 5):
+        store.merge(frame(spark, day(d)), "minutes")
+    fresh, other = BarStore(spark, store.path), BarStore(spark, store.path)
+    real, waiting = fresh.log._commit, [True]
+
+    def late(version):
+        if waiting:
+            waiting.pop()
+            for _ in range(3):  # the third one forgets what the first one replaced
+                other.compact_ledger()
+        return real(version)
+    monkeypatch.setattr(fresh.log, "_commit", late)
+    assert fresh.read("minutes").count() == 9 and fresh.ledger().count() == 3
+
+
 def test_commits_beside_a_checkpoint_are_not_lost(spark, store, monkeypatch):
     store.merge(frame(spark, day(3)), "minutes")
     other = BarStore(spark, store.path)
