@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -69,6 +70,33 @@ def test_rules_compile_to_what_they_say(spark):
         assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)))
 
 
+def brute_statistics(text):
+    t = text or ""
+    n, words = len(t), [w for w in re.split("[\x20\x09-\x0D]+", t) if w]
+
+    def share(kind):
+        return sum(kind(c) for c in t) / max(n, 1)
+    return {"log_chars": math.log1p(n), "word_length": n / max(len(words), 1), "distinct_words": len(set(words)) / max(len(words), 1),
+            "capitals": share(lambda c: unicodedata.category(c) == "Lu"), "digits": share(lambda c: unicodedata.category(c)[0] == "N"),
+            "symbols": share(lambda c: c in "#*%&$@~^=<>+_\\/{}[]"), "bars": share(lambda c: c == "|"), "exclamations": share(lambda c: c == "!"),
+            "stops": share(lambda c: c in ".?"), "commas": share(lambda c: c in ",;:"), "lines": share(lambda c: c == "\n")}
+
+
+def test_every_score_of_the_table_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "Ünï ÀB ½ Ⅷ [x] {y} \\ a|b! \t\x0b"), (-4, " ")], "doc_id long, text string")
+    docs = docs.unionByName(odd)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert len(model.rules) > 3
+    for r in quality.classify(docs, model).collect():
+        seen = brute_statistics(r["text"])
+        z = model.intercept + sum(w for rule, w in zip(model.rules, model.weights)
+                                  if all(seen[name] > bound if above else seen[name] <= bound for name, above, bound in rule))
+        near = any(abs(seen[name] - bound) < 1e-12 * max(1, abs(bound)) for rule in model.rules for name, _, bound in rule)
+        assert near or r["score"] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9), r["doc_id"]
+        assert r["predicted"] == int(r["score"] >= quality.THRESHOLD)
+
+
 def test_quality_query(spark, sf_dir):
     got = {r["doc_id"]: r for r in QUERIES["op6_quality_rules"](spark, sf_dir).collect()}
     assert len(got) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
