@@ -308,7 +308,9 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     inside: list[DataFrame] = []
     for (dim, total) in [tuple(r) for r in classes.groupBy(F.size("vector")).count().orderBy("count").collect()]:
         part = classes.where(F.size("vector") == dim)
-        drawn = part.orderBy(F.xxhash64("cls"), "cls2").limit(sample).select("vector").toArrow()
+        # thinned first, so that tasks send the driver no more than their part of a sample
+        some = part.where(F.pmod(F.xxhash64("cls"), F.lit(total)) < 2 * sample)
+        drawn = some.orderBy(F.xxhash64("cls"), "cls2").limit(sample).select("vector").toArrow()
         forest = fit(_matrix(drawn.column(0).combine_chunks()), total, threshold, leaf)
         # The sizes first, so that a row goes to its leaf's blocks in the one shuffle that carries vectors.
         sizes = saved(_drop(part, forest, dim, threshold, narrow=True).groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))

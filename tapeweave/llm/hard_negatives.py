@@ -213,7 +213,9 @@ class Index:
                           F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, e: a + e * e)).alias("norm")).first()
         self.rows, self.dims, self.norm = seen["n"], seen["dims"] or 0, float(seen["norm"] or 0)
         dims, norm = self.dims, self.norm
-        fitted = points.orderBy(F.xxhash64("row"), "row").limit(sample).select("v").toArrow().column("v").combine_chunks()
+        # thinned first, so that tasks send the driver no more than their part of a sample
+        some = points.where(F.pmod(F.xxhash64("row"), F.lit(max(1, self.rows))) < 2 * sample)
+        fitted = some.orderBy(F.xxhash64("row"), "row").limit(sample).select("v").toArrow().column("v").combine_chunks()
         x = _matrix(fitted, dims)
         wanted = max(1, min(centres, -(-self.rows // part)))
         self.top = x[cover(_augmented(x, norm), 0.0, wanted)[0]] if len(x) else x

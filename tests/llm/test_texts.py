@@ -112,6 +112,25 @@ def test_jaccard_equals_brute_force(spark, seed, words, num, frequent, block):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_jaccard_with_more_frequent_shingles_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 0)
+    rows = [(i, t) for i, t in texts(6, 90) if i is not None][:-2]
+    sets = {i: shingles(t, 2) for i, t in rows}
+    want = {(i, len(sets[i]), c) for i, c in brute_components(sets, 70, 100).items()}
+    got = jaccard.cluster(frame(spark, rows), words=2, num=70, den=100, frequent=1, block=4)
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_parity_never_rules_out_what_is_similar():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 900, 5000):
+        a = np.unique(rng.integers(-2 ** 62, 2 ** 62, size))
+        for kept in (0.2, 0.8, 0.97, 1.0):
+            b = np.unique(np.concatenate([a[rng.random(len(a)) < kept], rng.integers(-2 ** 62, 2 ** 62, size // 20)]))
+            differ = int(np.bitwise_count(jaccard.parity(a).view(np.uint64) ^ jaccard.parity(b).view(np.uint64)).sum())
+            assert differ <= len(np.setxor1d(a, b))
+
+
 def test_jaccard_repeated_and_null_ids(spark):
     got = jaccard.cluster(frame(spark, [(5, "a b c d e f"), (5, "a b c d e f"), (7, "A B c d e f"), (None, "a b c d e f"),
                                         (9, None), (9, "")])).collect()
@@ -283,3 +302,43 @@ def test_decontamination_in_blocks_and_with_an_empty_benchmark(spark, monkeypatc
     assert {(r["doc_id"], s["item_id"]) for r in decontaminate.mark(docs, bench).collect() for s in r["spans"]} == want
     assert {(k, k) for k in range(9)} <= want
     assert all(r["spans"] == [] for r in decontaminate.mark(docs, bench.where("false")).collect())
+
+
+@pytest.mark.parametrize("chars, held", [(40, 1), (40, 3), (10 ** 6, 4)])
+def test_passages_in_many_blocks(spark, monkeypatch, chars, held):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(decontaminate, "HELD", held)
+    rng = random.Random(4)
+    passage = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9))) for _ in range(8))
+    items = [(i, passage()) for i in range(9)]
+    rows = [(100 + i, f"{passage()} {t} {passage()}" if i % 2 else passage()) for i, t in items] + [(200, items[0][1] + " " + items[4][1]), (201, None)]
+    docs = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, spans_ string")
+    out = decontaminate.mark(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert out[0].asDict().keys() == {"doc_id", "text", "spans_", "spans"} and {r["spans_"] for r in out} == {"mine"}
+    want = {(100 + i, i) for i in range(9) if i % 2} | {(200, 0), (200, 4)}
+    assert {(r["doc_id"], s["item_id"]) for r in out for s in r["spans"]} == want
+
+
+def test_alignment_equals_a_full_table():
+    rng = np.random.default_rng(9)
+    items, regions, budgets, want = [], [], [], []
+    for _ in range(150):
+        n = int(rng.integers(1, 40))
+        item = rng.integers(0, 4, n).astype(np.uint32)
+        region = rng.integers(0, 4, n + int(rng.integers(-2, 12))).astype(np.uint32)
+        k = int(rng.integers(0, 8))
+        table = np.zeros((n + 1, len(region) + 1), int)
+        table[:, 0] = np.arange(n + 1)
+        for i in range(1, n + 1):
+            for j in range(1, len(region) + 1):
+                table[i, j] = min(table[i - 1, j - 1] + (item[i - 1] != region[j - 1]), table[i - 1, j] + 1, table[i, j - 1] + 1)
+        items.append(item)
+        regions.append(region)
+        budgets.append(k)
+        want.append(int(table[-1].min()) if len(region) else n)
+    for item, region, k, full, found in zip(items, regions, budgets, want, decontaminate.align(items, regions, budgets)):
+        if found:
+            edits, start, end = found
+            assert full <= edits <= k and 0 <= start <= end <= len(region)
+        elif full == 0:
+            assert len(region) < len(item)
