@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeweave.llm import bpe, decontaminate, exact_dedup, forest, hard_negatives, jaccard, lexical, line_dedup, quality, repeats, secrets, token_files, warc
-from tapeweave.llm.common import table
+from tapeweave.llm.common import saved, table
 from tapeweave.session import workspace
 
 
@@ -85,7 +85,8 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = workspace(spark, "warc")
     manifest = warc.write(table(spark, sf_dir, "pages"), out)
-    captures = warc.assemble(warc.records(spark, manifest, out, payloads=False))
+    # the archives are read once; their records without payloads are small
+    captures = warc.assemble(saved(warc.records(spark, manifest, out, payloads=False), "warc-records"))
     target = captures.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"),
                                                                F.col("page_id").alias("target"))
     return captures.join(target, "refers_to", "left").select(

@@ -200,6 +200,7 @@ def assemble(found: DataFrame) -> DataFrame:
     without a request or metadata record has an empty list there; its page is null then.
 
     ``payload_bytes`` of a revisit is the length that its metadata record states.
+    ``found`` is read three times: write it first where that means parsing archives.
     """
     main = found.where(F.col("type").isin("response", "revisit"))
     side = F.struct("record_id", "target_uri", "page_id", "payload_bytes").alias("record")
