@@ -113,7 +113,7 @@ class CoverTree:
                     spans[node] = (done, done + len(members), True)
                     done += len(members)
                     continue
-                picked, of, near = cover(x[members], radius / 2, FAN)
+                picked, of, near = cover(x[members], radius / 2, min(FAN, max(2, -(-len(members) // LEAF))))
                 spans[node] = (len(centres), len(centres) + len(picked), False)
                 for i, p in enumerate(picked):
                     mine = of == i
