@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeweave.llm.common import saved
+from tapeweave.llm.common import give_back, pieces, saved
 from tapeweave.llm.shared_files import attempt_name, open_store
 
 DATE = "2024-01-01T00:00:00Z"
@@ -91,7 +91,7 @@ def write(pages: DataFrame, out: str, min_bytes: int = 0, id: str = "page_id", u
         store, path = open_store(out)
         _, name = attempt_name("pages", ".warc.gz")
         sink, records, size = None, 0, 0
-        for batch in batches:
+        for batch in pieces(batches):
             for page, at, text, row, target in zip(*(c.to_pylist() for c in batch.columns)):
                 if sink is None:
                     store.create_dir(path, recursive=True)
@@ -185,6 +185,7 @@ def records(spark: SparkSession, manifest: DataFrame, out: str, payloads: bool =
                             held, size = [], 0
                     if held:
                         yield _batch(held, names, kinds)
+        give_back()
 
     files = manifest.select("file").repartition(max(1, manifest.count()), "file")
     return files.mapInArrow(run, _RECORD)
