@@ -200,6 +200,34 @@ def test_planted_secrets_that_no_pattern_matches(spark):
     assert len(found & long) >= 0.95 * len(long), missed
 
 
+def test_network_learns_from_every_window(spark):
+    """More windows than one shard holds: each is trained on or held out, and the threshold is that of all held-out ones."""
+    rng = random.Random(9)
+    made = lambda letters, k: "".join(rng.choice(letters) for _ in range(k))
+    n, other = 2 * secrets.SHARD + 100, 1500
+    rows = [(False, made("0123456789", 14).rjust(secrets.WIDTH, "\0")) for _ in range(n)]
+    rows += [(True, made("ABCDEFGHabcdefgh0123456789", 30).rjust(secrets.WIDTH, "\0")) for _ in range(other)]
+    table = spark.createDataFrame(rows, "secret boolean, w string")
+    net = secrets.learn(table.unionByName(table))
+    assert net.trained[0] + net.held[0] == other and net.trained[1] + net.held[1] == n
+    assert 0.15 * n < net.held[1] < 0.25 * n
+    again = secrets.learn(table.repartition(5))
+    assert (again.flat() == net.flat()).all() and (again.scale, again.threshold) == (net.scale, net.threshold)
+    found, plain = (net.score(secrets.codes([w for s, w in rows if s == label])) for label in (True, False))
+    assert (found >= net.threshold).mean() >= 0.97 and (plain >= net.threshold).mean() <= 0.02
+    few = secrets.learn(table.limit(50))
+    assert few.trained[1] + few.held[1] == 50
+
+
+def test_threshold_is_the_highest_that_keeps_recall():
+    counts = [(True, z, 10) for z in range(100)] + [(False, -500, 300)]
+    assert secrets._lowest(counts, 0.9) == 9  # 99 of 1000 may be missed
+    net = secrets.calibrate(secrets.start(np.random.default_rng(1)), counts, [(True, 60, 5)], 0.9)
+    assert list(net.calibrated(np.array([8, 9, 10])) >= net.threshold) == [False, True, True]
+    low = secrets.calibrate(secrets.start(np.random.default_rng(1)), counts, [(True, 4, 5)], 0.9)  # of the fixed ones too
+    assert list(low.calibrated(np.array([3, 4])) >= low.threshold) == [False, True]
+
+
 def test_candidates_overlap_findings_but_never_lie_inside():
     key = "deadbeef" * 3
     text = f"a {key}XYZ9 b {key} c xY9aaa d"
