@@ -15,7 +15,7 @@ from datetime import date, datetime, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeweave import fixtures as fx
@@ -69,11 +69,21 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
     return stitch(fx.day_bars(spark, d))
 
 
-def _split(spark: SparkSession, df: DataFrame, name: str, files: int = 3) -> str:
-    """The same rows as a folder of several files, so a stream has several micro-batches."""
+def _feed(df: DataFrame, path: str, slices: list[Column]) -> int:
+    """Append the rows of each slice to a folder, one slice after the other; files there now.
+
+    A task writes what it reads, without a shuffle: with the table the files grow in number and not in size.
+    """
+    for mine in slices:
+        df.filter(mine).write.mode("append").parquet(path)
+    return len(df.sparkSession.read.schema(df.schema).parquet(path).inputFiles())
+
+
+def _split(spark: SparkSession, df: DataFrame, name: str, parts: int = 3) -> tuple[str, int]:
+    """The same rows as a folder that a stream reads in ``parts`` micro-batches, and the files of one."""
     path = workspace(spark, name)
-    df.repartition(files, "unix_ms").write.parquet(path)
-    return path
+    files = _feed(df, path, [F.pmod(F.xxhash64("unix_ms"), F.lit(parts)) == k for k in range(parts)])
+    return path, -(-files // parts)
 
 
 def normalize_ticks(spark, d):
@@ -380,12 +390,12 @@ def export_run_open_ended(spark, d):
 
 def stream_stitch(spark, d):
     """Two streams over one sink: the second has a new checkpoint and sees all rows again."""
-    src = fx.day_bars(spark, d).withColumn("_slice", F.xxhash64("open") % 3)
+    src = fx.day_bars(spark, d)
     path, out = workspace(spark, "stream-in"), workspace(spark, "stream-out")
-    schema = fx.day_bars(spark, d).schema
-    for mine in (F.col("_slice") != 0, F.col("_slice") == 0):
-        src.filter(mine).repartition(2, "_slice").drop("_slice").write.mode("append").parquet(path)
-        live = stitch_stream(read_stream(spark, path, schema, 1))
+    parts = [F.pmod(F.xxhash64("open"), F.lit(3)) == k for k in range(3)]
+    for fed, mine in ((2, parts[1:]), (3, parts[:1])):
+        files = _feed(src, path, mine)
+        live = stitch_stream(read_stream(spark, path, src.schema, -(-files // fed)))  # a part in each micro-batch
         drain(upsert_writer(live, out, workspace(spark, "checkpoint")), spark.sparkContext.defaultParallelism)
     fold_upserts(spark, out, live.schema, KEY)
     return read_upserts(spark, out, live.schema, KEY).select(BAR)
@@ -393,8 +403,8 @@ def stream_stitch(spark, d):
 
 def stream_bars(spark, d):
     ticks = fx.ticks(spark, d)
-    path = _split(spark, ticks, "stream-in")
-    live = bar_stream(read_stream(spark, path, ticks.schema, 1), "Minute", 60, "40 days")
+    path, files = _split(spark, ticks, "stream-in")
+    live = bar_stream(read_stream(spark, path, ticks.schema, files), "Minute", 60, "40 days")
     out = workspace(spark, "stream-out")
     drain(upsert_writer(live, out, workspace(spark, "checkpoint")), spark.sparkContext.defaultParallelism)
     return read_upserts(spark, out, live.schema, [*SERIES, "unix_ms"])

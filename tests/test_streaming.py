@@ -3,6 +3,10 @@
 import random
 from datetime import date
 
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
 from helpers import bar, frame, rows_of
 from tapeweave.operators.resample import resample
 from tapeweave.operators.stitch import stitch
@@ -78,3 +82,17 @@ def test_bar_stream_equals_batch(spark):
     drain(upsert_writer(live, out, workspace(spark, "cp")))
     batch = resample(frame(spark, data), "Minute", 15)
     assert rows_of(read_upserts(spark, out, live.schema, [*SERIES, "unix_ms"]), *batch.columns) == rows_of(batch, *batch.columns)
+
+
+@pytest.mark.parametrize("query, table, parts", [("stream_stitch", "lineitem", [2, 3]), ("stream_bars", "events", [3])])
+def test_fed_files_grow_in_number_and_not_in_size(spark, sf_dir, tmp_path, monkeypatch, query, table, parts):
+    source, n = spark.read.parquet(f"{sf_dir}/{table}.parquet"), 6
+    source.repartition(n).write.parquet(f"{tmp_path}/{table}.parquet")
+    fed = []
+    monkeypatch.setattr(entry, "read_stream", lambda s, path, schema, k: fed.append((path, k)) or read_stream(s, path, schema, k))
+    want = sorted(map(repr, getattr(entry, query)(spark, sf_dir).collect()))
+    del fed[:]
+    assert sorted(map(repr, getattr(entry, query)(spark, str(tmp_path)).collect())) == want
+    assert [k for _, k in fed] == [n] * len(parts)  # in a micro-batch
+    made = spark.read.parquet(fed[-1][0]).groupBy(F.input_file_name()).count().collect()
+    assert len(made) == n * parts[-1] and max(r["count"] for r in made) <= source.count() / n + n
