@@ -22,22 +22,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapeweave.llm.bpe import WordEncoder, groups
-from tapeweave.llm.common import saved
+from tapeweave.llm.bpe import groups
+from tapeweave.llm.common import give_back, saved
 from tapeweave.llm.shared_files import attempt_name, open_store
 
 MAGIC = b"TWPLANE1"
 BLOCK = 1 << 16
 LEVEL = 3
 _NULL_ID = -(1 << 63)
-_CLOSING = ".,;:!?"
-TOGETHER = 512  # words that go to the library as one text
-MEMO_CORES = 100_000  # words without closing punctuation of each of the two generations that a worker keeps
+TOGETHER = 512  # pieces that go to the library as one text
+CHUNK = 8 << 20  # bytes of text that are cut and encoded in one step; a longer text is one step
+MEMO_PIECES = 500_000  # pieces of texts that a worker keeps with their ids
+LONG_PIECE = 64  # longer ones are not kept
+
+# Kinds of bytes: 0 visible, 1 white space, 2 neither for certain.
+_KIND = np.zeros(256, np.uint8)
+_KIND[:32] = _KIND[127] = 2
+_KIND[[9, 10, 11, 12, 13, 32]] = 1
+_CLOSE, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_CLOSE[list(b".,;:!?")] = True
+_ALNUM[[k for k in range(128) if chr(k).isalnum()]] = True
+# White space beyond ASCII, by its bytes in UTF-8.
+_WIDE_CHARS = "\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_WIDE = [[int.from_bytes(c.encode()) for c in _WIDE_CHARS if len(c.encode()) == n] for n in (2, 3)]
+_WIDE_LEAD = np.zeros(256, bool)
+_WIDE_LEAD[[c.encode()[0] for c in _WIDE_CHARS]] = True
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -140,94 +155,217 @@ class IdFile:
         return np.concatenate([*out, np.zeros(0, "<u4")])
 
 
-_workers: dict[str, WordEncoder] = {}
+def cuts(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of some texts begin: ``data`` holds the texts, ``starts`` where each begins.
 
-
-def _library_encoder(source: str) -> WordEncoder:
-    """Words through the tokenizers library, each distinct one once as long as it is remembered.
-
-    A word without white space inside is a text of its own for the tokenizer,
-    so many go to the library as one text, a newline between them: that is an id
-    which no such word has, and the words' ids lie between two of them. Words with
-    single newlines inside are cut there, and closing punctuation is cut off, as
-    the tokenizer does, so that a word is encoded once whatever follows it.
+    The byte-level pre-tokenizer breaks at each of these places and what lies
+    between two of them is split there as it is in the whole text: before white
+    space that follows something visible, around the last sign of white space
+    before something visible (a space stays with the word behind it), and before
+    closing punctuation that follows a letter or digit. Other breaks are left to
+    the library. Control characters and white space beyond ASCII end the rules.
+    """
+    at = np.zeros(len(data) + 1, bool)
+    at[starts] = True
+    own = at.copy()  # where texts begin
+    b = np.frombuffer(data, np.uint8)
+    if len(b) > 1:
+        kind = _KIND[b]
+        lead = np.flatnonzero(_WIDE_LEAD[b])
+        for k in range(2 if len(lead) else 0):  # of two bytes, of three bytes
+            here = lead[lead < len(b) - 1 - k]
+            code = b[here].astype(np.int32) << 8 | b[here + 1]
+            here = here[np.isin(code << 8 | b[here + 2] if k else code, _WIDE[k])]
+            for i in range(2 + k):
+                kind[here + i] = 2
+        white, seen = kind == 1, kind == 0
+        at[1:-1] |= white[1:] & seen[:-1]
+        at[1:-2] |= white[1:-1] & white[:-2] & seen[2:] & ~own[2:-1]
+        at[1:-1] |= seen[1:] & white[:-1] & (b[:-1] != 32) & at[:-2]
+        close = np.flatnonzero(_CLOSE[b[1:]]) + 1
+        last, before = b[close - 1], b[np.maximum(close - 2, 0)]
+        at[close[_ALNUM[last] | (before == 0xC3) & (last > 0x7F) & (last != 0x97) & (last != 0xB7)]] = True  # Latin-1 letters
+    return np.flatnonzero(at[:-1])
+
+
+class LibraryEncoder:
+    """Texts through the tokenizers library, each distinct piece once as long as it is remembered.
+
+    Texts are taken some at a time and cut where the pre-tokenizer breaks for
+    certain (``cuts``). The pieces that are not in ``memo`` go to the library, many as
+    one text. Pieces of letters alone are one word to the pre-tokenizer and go to the
+    library's merges by themselves, the others through the whole tokenizer with
+    newlines between them: that is an id which no such piece has. What can touch its
+    neighbours there goes alone, and texts with added tokens go whole, as do all texts of
+    tokenizers that are not byte-level BPE.
     """
-    key = str(hash(source))
-    if key not in _workers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(source)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
 
-        def library(texts: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def __init__(self, source: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        self.whole = Tokenizer.from_str(source)
+        self.whole.no_truncation()
+        self.whole.no_padding()
         spec = json.loads(source)
-        before = spec["pre_tokenizer"] or {}
-        bytewise = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec["normalizer"]
-        newline, = library(["\n"])
-        newline = int(newline[0]) if bytewise and len(newline) == 1 else None  # other tokenizers take words one by one
-
-        def together(words: list[str]) -> list[bytes]:
-            out: list[bytes] = []
-            for i in range(0, len(words), TOGETHER):
-                ids, = library(["\n".join(words[i:i + TOGETHER])])
-                at = np.flatnonzero(ids == newline)
-                data = ids.tobytes()
-                out += [data[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)])]
-            if len(out) != len(words):
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        char = {}  # the character that stands for each byte in the vocabulary
+        for k in range(256):
+            char[k] = chr(k) if 33 <= k <= 126 or 161 <= k <= 172 or k >= 174 else chr(256 + k - len([c for c in char.values() if c < "\u0100"]))
+        self.newline = None
+        if before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") \
+                and not spec["normalizer"] and model["type"] == "BPE" and set(char.values()) <= model["vocab"].keys() \
+                and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")) \
+                and not any("\n" in t for t in self.added):
+            self.newline = self._library(["\n"])[0]
+            self.newline = int(self.newline[0]) if len(self.newline) == 1 else None
+        if self.newline is not None:
+            self.merges = Tokenizer.from_str(json.dumps(spec | {
+                "added_tokens": [], "pre_tokenizer": None, "post_processor": None, "truncation": None, "padding": None}))
+            self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+            self.shown = np.array([ord(char[k]) for k in range(256)], "<u2")
+            self.shown[10] = 10
+            self.sizes = np.zeros(max(model["vocab"].values()) + 1, np.int64)  # bytes of each id
+            for t, i in model["vocab"].items():
+                self.sizes[i] = len(t)
+        self.letters: dict[str, bool] = {}
+        self.memo = pa.array([], pa.binary())
+        self.memo_ids = _lists([0], np.zeros(0, "<u4"))
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _is_letter(self, c: str) -> bool:
+        """Whether the pre-tokenizer, too, takes it for a letter."""
+        if c not in self.letters:
+            self.letters[c] = len(self.whole.pre_tokenizer.pre_tokenize_str(f"a{c}a")) == 1
+        return self.letters[c]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """How many ids each piece of letters has, and the ids of all."""
+        counts, out = [], []
+        for i in range(0, len(words), TOGETHER):
+            data = "\n".join(words[i:i + TOGETHER]).encode()
+            b = np.frombuffer(data, np.uint8)
+            found, = self.merges.encode_batch_fast([self.shown[b].tobytes().decode("utf-16-le")], add_special_tokens=False)
+            out.append(np.array(found.ids, "<u4"))
+            ends = np.cumsum(self.sizes[out[-1]])
+            want = np.append(np.flatnonzero(b == 10), len(b))
+            want -= np.arange(len(want))
+            at = np.minimum(np.searchsorted(ends, want), len(ends) - 1)
+            if not (ends[at] == want).all():
                 raise AssertionError("a word ran into the next one")
-            return out
-
-        between = b"" if newline is None else newline.to_bytes(4, "little")
-        known: dict[str, bytes] = {}
-        older: dict[str, bytes] = {}
-
-        def look_up(pieces: set[str]) -> None:
-            """All ``pieces`` are in ``known`` afterwards; like the words' memo it has two generations."""
-            nonlocal known, older
-            if len(known) > MEMO_CORES:
-                known, older = {}, known
-            new = pieces - known.keys()
-            back = new & older.keys()
-            for p in back:
-                known[p] = older[p]
-            new = list(new - back)
-            known.update(zip(new, together(new)))
-
-        def cut(word: str) -> list[str]:
-            """Pieces that are encoded on their own: line, closing punctuation, line, ...; none where the word is taken as it is."""
-            pieces: list[str] = []
-            for line in word[1:].split("\n"):
-                if not line or not line.isprintable() or " " in line:
-                    return []
-                line = line if pieces else " " + line
-                core = line.rstrip(_CLOSING)
-                pieces += [line, ""] if len(core) == len(line) or not core[-1:].isalnum() else [core, line[len(core):]]
-            return pieces
-
-        def fresh(words: list[str]) -> list[bytes]:
-            if newline is None:
-                return [x.tobytes() for i in range(0, len(words), TOGETHER) for x in library(words[i:i + TOGETHER])]
-            plain = {w for w in words if w[:1] == " " and w[1:].isalnum()}
-            parts = {w: cut(w) if w[:1] == " " else [] for w in words if w not in plain}
-            wanted = plain.union(*parts.values())
-            wanted.discard("")
-            look_up(wanted)
-            get = known.get
-            single = [w for w, pieces in parts.items() if not pieces]
-            ids = dict(zip(single, [x.tobytes() for i in range(0, len(single), TOGETHER) for x in library(single[i:i + TOGETHER])]))
-            for w, pieces in parts.items():
-                if len(pieces) == 2:
-                    ids[w] = known[pieces[0]] + get(pieces[1], b"")
-                elif pieces:
-                    ids[w] = between.join([known[a] + get(b, b"") for a, b in zip(pieces[::2], pieces[1::2])])
-            return [known[w] if w in plain else ids[w] for w in words]
-
+            counts.append(np.diff(at, prepend=-1))
+        return np.concatenate([np.zeros(0, np.int64), *counts]), out
+
+    def _beside(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces that keep to themselves between newlines."""
+        out: list[np.ndarray] = []
+        for i in range(0, len(pieces), TOGETHER):
+            ids, = self._library(["\n".join(pieces[i:i + TOGETHER])])
+            at = np.flatnonzero(ids == self.newline)
+            out += [ids[a:b] for a, b in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)])]
+        if len(out) != len(pieces):
+            raise AssertionError("a piece ran into the next one")
+        return out
+
+    def _fresh(self, pieces: pa.Array, added: list[str]) -> pa.Array:
+        """Lists of the ids of pieces that are not remembered; none holds an added token but those in ``added``."""
+        texts = pieces.cast(pa.string()).to_pylist()
+        words, beside, alone = [], [], []
+        for i, x in enumerate(texts):
+            if added and any(t in x for t in added):
+                alone.append(i)
+            elif x[1:].isalpha() and (x[0] == " " or x[0].isalpha()):
+                words.append(i)
+            elif x.isprintable() and x != " " and " " not in x[1:]:
+                beside.append(i)
+            else:
+                alone.append(i)
+        strange = {c for c in set("".join([texts[i] for i in words])) if c != " " and not self._is_letter(c)}
+        if strange:
+            beside += [i for i in words if not strange.isdisjoint(texts[i])]
+            words = [i for i in words if strange.isdisjoint(texts[i])]
+        counts, ids = self._words([texts[i] for i in words])
+        rest = self._beside([texts[i] for i in beside])
+        for group in groups([texts[i] for i in alone]):
+            rest += self._library(group)
+        offsets = np.cumsum(np.concatenate([[0], counts, np.array([len(x) for x in rest], np.int64)]))
+        made = _lists(offsets, np.concatenate([np.zeros(0, "<u4"), *ids, *rest]))
+        place = np.empty(len(texts), np.int64)
+        place[[*words, *beside, *alone]] = np.arange(len(texts))
+        return made.take(pa.array(place))
+
+    def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.newline is None:
+            ids = [x for group in groups(texts.to_pylist()) for x in self._library(group)]
+            return np.concatenate([np.zeros(0, "<u4"), *ids]), np.cumsum([0, *map(len, ids)])
+        wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        edges = np.frombuffer(texts.buffers()[1], wide)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = texts.buffers()[2].slice(edges[0], edges[-1] - edges[0]).to_pybytes() if edges[-1] > edges[0] else b""
+        edges -= edges[0]
+        begin = cuts(data, edges[:-1])
+        keep = np.ones(len(begin), bool)
+        added = [t for t in self.added if t.encode() in data]
+        for t in added:
+            k = data.find(t.encode())
+            while k >= 0:  # a text that holds an added token is one piece
+                d = int(np.searchsorted(edges, k, side="right")) - 1
+                keep[slice(*np.searchsorted(begin, [edges[d] + 1, edges[d + 1]]))] = False
+                k = data.find(t.encode(), int(edges[d + 1]))
+        begin = begin[keep]
+        pieces = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        pieces = pieces.dictionary_encode()
+        names = pieces.dictionary
+        place = pc.index_in(names, self.memo)
+        new = names.filter(place.is_null())
+        made = pa.concat_arrays([self.memo_ids, self._fresh(new, added)])
+        place = place.to_numpy(zero_copy_only=False).copy()
+        unknown = np.isnan(place)
+        place[unknown] = np.arange(len(self.memo), len(made))
+        ids = made.take(pa.array(place.astype(np.int64)))  # of each name
+        self._remember(names, ids, new, made)
+        size = pc.list_value_length(ids).to_numpy()
+        number = pieces.indices
+        upto = np.append(0, np.cumsum(size[number.to_numpy()], dtype=np.int64))
+        return ids.take(number).flatten().to_numpy(), upto[np.searchsorted(begin, edges)]
+
+    def _remember(self, names: pa.Array, ids: pa.Array, new: pa.Array, made: pa.Array) -> None:
+        """Keep the new pieces too, or where those are too many the pieces of this step alone."""
+        if len(self.memo) + len(new) <= MEMO_PIECES:
+            names, ids = pa.concat_arrays([self.memo, new]), made
+        names, ids = names[:MEMO_PIECES], ids[:MEMO_PIECES]
+        short = pc.less_equal(pc.binary_length(names), LONG_PIECE)
+        self.memo, self.memo_ids = names.filter(short), ids.filter(short)
+
+    def chunks(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of some texts after the other, and where each text's begin and the last one's end; a null is an empty text."""
+        size = np.append(0, np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64))
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(size, size[a] + CHUNK, side="right")) - 1)
+            yield self._chunk(texts[a:b].fill_null(""))
+            a = b
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        return [ids[a:b].tobytes() for ids, at in self.chunks(pa.array(texts, pa.string())) for a, b in zip(at, at[1:])]
+
+
+def _lists(offsets, ids: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids, pa.uint32()))
+
+
+_workers: dict[str, LibraryEncoder] = {}
+
+
+def _library_encoder(source: str) -> LibraryEncoder:
+    """The worker's encoder."""
+    key = str(hash(source))
+    if key not in _workers:
         _workers.clear()
-        _workers[key] = WordEncoder(fresh)
+        _workers[key] = LibraryEncoder(source)
     return _workers[key]
 
 
@@ -260,14 +398,16 @@ def write(docs: DataFrame, out: str, tokenizer: str, end: int, id: str = "doc_id
                 store.create_dir(path, recursive=True)
                 sink = store.open_output_stream(f"{path}/{name}")
                 writer = IdWriter(sink, block, bits)
-            at = iter(batch.column(0).to_pylist())
-            for group in groups(batch.column(1).to_pylist()):
-                for data in encoder.encode(group):
-                    writer.add(next(at), np.append(np.frombuffer(data, "<u4"), np.uint32(end)))
+            docs = iter(batch.column(0).to_pylist())
+            for ids, at in encoder.chunks(batch.column(1)):
+                at = at.tolist()
+                for a, b in zip(at, at[1:]):
+                    writer.add(next(docs), np.append(ids[a:b], np.uint32(end)))
         if writer is not None:
-            count, ids = writer.close()
+            count, total = writer.close()
             sink.close()
-            yield pa.RecordBatch.from_pylist([{"part": part, "file": name, "docs": count, "ids": ids}],
+            give_back()
+            yield pa.RecordBatch.from_pylist([{"part": part, "file": name, "docs": count, "ids": total}],
                                              pa.schema([("part", pa.int32()), ("file", pa.string()),
                                                         ("docs", pa.int64()), ("ids", pa.int64())]))
 

@@ -127,6 +127,88 @@ def test_plane_files_round_trip(bits, block):
         token_files.open_bytes(out.getvalue()[:-1])
 
 
+CUT = ["a", "Zoë", "don't", "x1", "½", "Ж", "日", "\u0301", "'s", "_", "(", *".,;:!?", *[" "] * 8, *["\n"] * 4, "\t", "\r", "\x0b", "\x1c", "\x7f",
+       "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "×", "÷", "“", "<|endoftext|>"]
+
+
+@pytest.mark.parametrize("kept,chunk", [(5, 50), (200_000, 8 << 20)])
+def test_cut_pieces_equal_library(library, monkeypatch, kept, chunk):
+    """White space of all kinds and closing punctuation in any order, at both ends of texts; little and much at a time."""
+    monkeypatch.setattr(token_files, "MEMO_PIECES", kept)
+    monkeypatch.setattr(token_files, "CHUNK", chunk)
+    rng = random.Random(12)
+    texts = ["".join(rng.choices(CUT, k=rng.randrange(12))) for _ in range(6000)]
+    texts += ["".join(rng.choices(CUT[:-1], k=rng.randrange(300))) for _ in range(100)] + [a + b + c for a in CUT for b in CUT for c in "a \n"]
+    token_files._workers.clear()
+    encoder = token_files._library_encoder(open(PATH, encoding="utf-8").read())
+    for some in (texts, texts[::-1], texts[:9]):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(some)] == \
+            [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+        assert len(encoder.memo) <= kept
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+    token_files._workers.clear()
+
+
+class Counting:
+    """A tokenizer of the library that counts the characters it is given."""
+
+    given = 0
+
+    def __init__(self, inner):
+        object.__setattr__(self, "inner", inner)
+
+    @classmethod
+    def from_str(cls, source):
+        return cls(Tokenizer.from_str(source))
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def __setattr__(self, name, value):
+        setattr(self.inner, name, value)
+
+    def encode_batch_fast(self, texts, **options):
+        Counting.given += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_words_go_to_the_library_once(library, monkeypatch):
+    """Many words that return late, with other punctuation behind them, are not encoded again."""
+    import tokenizers
+
+    words = ["".join("abcdefghij"[int(c)] for c in str(10 ** 8 + i * 7919)) for i in range(360_000)]
+    texts = [" " + " ".join(w + end for w in words[a:a + 120_000]) for end in (",", "!?") for a in range(0, len(words), 120_000)]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    monkeypatch.setattr(Counting, "given", 0)
+    token_files._workers.clear()
+    encoder = token_files._library_encoder(open(PATH, encoding="utf-8").read())
+    got = [encoder.encode([t])[0] for t in texts]
+    token_files._workers.clear()
+    assert Counting.given < 1.1 * sum(len(w) + 2 for w in words)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got[2:4]] == [e.ids for e in library.encode_batch(texts[2:4], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("change", ["prefix", "added", "whole"])
+def test_other_tokenizers_equal_library(change):
+    """A prefix space, an added token that takes the space before it, another pre-tokenizer."""
+    import json
+
+    spec = json.load(open(PATH, encoding="utf-8"))
+    if change == "prefix":
+        spec["pre_tokenizer"]["add_prefix_space"] = True
+    elif change == "whole":
+        spec["pre_tokenizer"]["use_regex"] = False
+    else:
+        spec["added_tokens"].append({"id": 50257, "content": "cat", "single_word": True, "lstrip": True, "rstrip": False,
+                                     "normalized": False, "special": False})
+    texts = ["the cat  sat, concat\n\ncat", "", "a b\nc", "cat", "no one here."]
+    source = json.dumps(spec)
+    token_files._workers.clear()
+    want = [e.ids for e in Tokenizer.from_str(source).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in token_files._library_encoder(source).encode(texts)] == want
+    token_files._workers.clear()
+
+
 def test_token_files_in_order(spark, library, tmp_path):
     texts = [None, "", *odd_texts(5, 60), "word " * 5000, "same", "same"]
     data = rows(spark, texts).unionByName(rows(spark, ["no id"]).selectExpr("cast(null as long) as doc_id", "text", "ids", "decoded"))
