@@ -18,6 +18,7 @@ from __future__ import annotations
 import io
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,8 +197,8 @@ class LibraryEncoder:
     one text. Pieces of letters alone are one word to the pre-tokenizer and go to the
     library's merges by themselves, the others through the whole tokenizer with
     newlines between them: that is an id which no such piece has. What can touch its
-    neighbours there goes alone, and texts with added tokens go whole, as do all texts of
-    tokenizers that are not byte-level BPE.
+    neighbours there goes alone, such as added tokens; texts go whole where an added token takes its
+    surroundings, and all texts of tokenizers that are not byte-level BPE do.
     """
 
     def __init__(self, source: str):
@@ -209,7 +210,11 @@ class LibraryEncoder:
         self.whole.no_padding()
         spec = json.loads(source)
         model, before = spec["model"], spec["pre_tokenizer"] or {}
-        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        added = spec.get("added_tokens") or []
+        self.added = [t["content"] for t in added if t["content"]]
+        # the library splits a text at added tokens before all else; where that depends on what is beside them, texts go whole
+        plain = not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")) and len({t.get("normalized") for t in added}) < 2
+        self.apart = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(self.added, key=len, reverse=True))) if plain and added else None
         char = {}  # the character that stands for each byte in the vocabulary
         for k in range(256):
             char[k] = chr(k) if 33 <= k <= 126 or 161 <= k <= 172 or k >= 174 else chr(256 + k - len([c for c in char.values() if c < "\u0100"]))
@@ -236,6 +241,18 @@ class LibraryEncoder:
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _holders(data: bytes, edges: np.ndarray, added: list[str]) -> set[int]:
+        """The texts that hold an added token."""
+        found = set()
+        for t in added:
+            k = data.find(t.encode())
+            while k >= 0:
+                d = int(np.searchsorted(edges, k, side="right"))  # the text behind
+                found.add(d - 1)
+                k = data.find(t.encode(), int(edges[d]))
+        return found
+
     def _is_letter(self, c: str) -> bool:
         """Whether the pre-tokenizer, too, takes it for a letter."""
         if c not in self.letters:
@@ -289,7 +306,7 @@ class LibraryEncoder:
             words = [i for i in words if strange.isdisjoint(texts[i])]
         counts, ids = self._words([texts[i] for i in words])
         rest = self._beside([texts[i] for i in beside])
-        for group in groups([texts[i] for i in alone]):
+        for group in groups([texts[i] for i in alone], 1 << 16):
             rest += self._library(group)
         offsets = np.cumsum(np.concatenate([[0], counts, np.array([len(x) for x in rest], np.int64)]))
         made = _lists(offsets, np.concatenate([np.zeros(0, "<u4"), *ids, *rest]))
@@ -305,16 +322,17 @@ class LibraryEncoder:
         edges = np.frombuffer(texts.buffers()[1], wide)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
         data = texts.buffers()[2].slice(edges[0], edges[-1] - edges[0]).to_pybytes() if edges[-1] > edges[0] else b""
         edges -= edges[0]
-        begin = cuts(data, edges[:-1])
-        keep = np.ones(len(begin), bool)
         added = [t for t in self.added if t.encode() in data]
-        for t in added:
-            k = data.find(t.encode())
-            while k >= 0:  # a text that holds an added token is one piece
-                d = int(np.searchsorted(edges, k, side="right")) - 1
-                keep[slice(*np.searchsorted(begin, [edges[d] + 1, edges[d + 1]]))] = False
-                k = data.find(t.encode(), int(edges[d + 1]))
-        begin = begin[keep]
+        held = []  # the places of added tokens, or of the texts that hold them
+        for d in sorted(self._holders(data, edges, added)):
+            a, b = int(edges[d]), int(edges[d + 1])
+            held += [m.span() for m in self.apart.finditer(data, a, b)] if self.apart else [(a, b)]
+        held = np.array(held, np.int64).reshape(-1, 2)
+        begin = cuts(data, np.concatenate([edges[:-1], held.ravel()]))
+        inside = np.zeros(len(begin) + 1, np.int64)
+        np.add.at(inside, np.searchsorted(begin, held[:, 0] + 1), 1)
+        np.add.at(inside, np.searchsorted(begin, held[:, 1]), -1)
+        begin = begin[np.cumsum(inside[:-1]) == 0]
         pieces = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(data)])
         pieces = pieces.dictionary_encode()
         names = pieces.dictionary

@@ -188,9 +188,9 @@ def test_words_go_to_the_library_once(library, monkeypatch):
     assert [np.frombuffer(b, "<u4").tolist() for b in got[2:4]] == [e.ids for e in library.encode_batch(texts[2:4], add_special_tokens=False)]
 
 
-@pytest.mark.parametrize("change", ["prefix", "added", "whole"])
+@pytest.mark.parametrize("change", ["prefix", "added", "inside", "whole"])
 def test_other_tokenizers_equal_library(change):
-    """A prefix space, an added token that takes the space before it, another pre-tokenizer."""
+    """A prefix space, an added token that takes the space before it, ones that hold breaks and each other, another pre-tokenizer."""
     import json
 
     spec = json.load(open(PATH, encoding="utf-8"))
@@ -198,10 +198,15 @@ def test_other_tokenizers_equal_library(change):
         spec["pre_tokenizer"]["add_prefix_space"] = True
     elif change == "whole":
         spec["pre_tokenizer"]["use_regex"] = False
+    elif change == "inside":
+        for i, t in enumerate(["t. s", "<|endoftext|>. x", "e", " <|endoftext|>"]):
+            spec["added_tokens"].append({"id": 50257 + i, "content": t, "single_word": False, "lstrip": False, "rstrip": False,
+                                         "normalized": False, "special": True})
     else:
         spec["added_tokens"].append({"id": 50257, "content": "cat", "single_word": True, "lstrip": True, "rstrip": False,
                                      "normalized": False, "special": False})
-    texts = ["the cat  sat, concat\n\ncat", "", "a b\nc", "cat", "no one here."]
+    texts = ["the cat  sat, concat\n\ncat", "", "a b\nc", "cat", "no one here.", "a  <|endoftext|>. x  e", "a  <|endoftext|>. y", "cat. sat.", "<|endof", "text|> cat. ",
+             "sit  <|endoftext|>  <|endoftext|>\n"]
     source = json.dumps(spec)
     token_files._workers.clear()
     want = [e.ids for e in Tokenizer.from_str(source).encode_batch(texts, add_special_tokens=False)]
